@@ -1,4 +1,35 @@
 """Queries of the training-data operators, with their SQL twins."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lattica.llm.topn import top_per_group
+from lattica.session import folded_id, table
+
+
+def valid_score(column: str) -> Column:
+    """A score on the 0-1 scale; null where it is null, not a number or negative."""
+    c = F.col(column)
+    return F.when(~F.isnan(c) & (c >= 0), F.when(c > 1, c / 1000).otherwise(c))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    si = table(spark, sf, "string_interaction").select("stringId_A", "stringId_B", "score")
+    return top_per_group(si, folded_id("stringId_A"), folded_id("stringId_B"), valid_score("score"), 5).select("group_id", "item_id", "rank_no")
+
+
+QUERIES = {f.__name__: f for f in (p4_found,)}
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
+
+_P4 = f"""
+with v as (select upper(trim(stringId_A, {_BLANKS})) as group_id, upper(trim(stringId_B, {_BLANKS})) as item_id,
+    case when isnan(score) or score < 0 then null when score > 1 then score / 1000 else score end as s from string_interaction),
+b as (select group_id, item_id, max(s) as s from v where group_id is not null and item_id is not null and s is not null group by all),
+r as (select group_id, item_id, row_number() over (partition by group_id order by s desc, item_id) as rank_no from b)
+select group_id, item_id, rank_no::int as rank_no from r where rank_no <= 5
+"""
+
+ORACLE = {"p4_found": _P4}
