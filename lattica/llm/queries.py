@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lattica.llm.leakage import leaked_items
 from lattica.llm.topn import top_per_group
 from lattica.session import folded_id, table
 
@@ -20,7 +21,16 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_per_group(si, folded_id("stringId_A"), folded_id("stringId_B"), valid_score("score"), 5).select("group_id", "item_id", "rank_no")
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and the items that leaked into them, with the shares of question and answer they hold."""
+    return leaked_items(table(spark, sf, "documents"), table(spark, sf, "test_item"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p7_leaks(spark, sf).select("doc_id", "item_id")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p7_found, p7_leaks)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
 
