@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lattica.llm.leakage import leaked_items
 from lattica.llm.topn import top_per_group
+from lattica.llm.truncation import truncated
 from lattica.session import folded_id, table
 
 
@@ -21,6 +22,27 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_per_group(si, folded_id("stringId_A"), folded_id("stringId_B"), valid_score("score"), 5).select("group_id", "item_id", "rank_no")
 
 
+#: Score from which a value counts as cut.
+CUT_SCORE = 0.5
+
+
+def p5_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The truncation score of every delivery with an abstract."""
+    scored = truncated(table(spark, sf, "pubmed_article"), "rec_id", "source", "abstract")
+    return scored.groupBy("rec_id", "source").agg(F.max("score").alias("score"))  # rows delivered twice
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    scored = truncated(table(spark, sf, "pubmed_article"), "rec_id", "source", "abstract")
+    return scored.where(F.col("score") >= CUT_SCORE).select("rec_id").distinct()
+
+
+def p5_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Per source: deliveries with an abstract, those cut off, and their share."""
+    per = p5_scores(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("score") >= CUT_SCORE).alias("n_truncated"))
+    return per.withColumn("share", F.round(F.col("n_truncated") / F.col("n_values"), 4))
+
+
 def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     """Documents and the items that leaked into them, with the shares of question and answer they hold."""
     return leaked_items(table(spark, sf, "documents"), table(spark, sf, "test_item"))
@@ -30,7 +52,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return p7_leaks(spark, sf).select("doc_id", "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p7_found, p7_leaks)}
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_scores, p5_rates, p7_found, p7_leaks)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
 
