@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lattica.llm.abuse import scored_documents
 from lattica.llm.leakage import leaked_items
 from lattica.llm.topn import top_per_group
 from lattica.llm.truncation import truncated
@@ -52,7 +53,26 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return p7_leaks(spark, sf).select("doc_id", "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_scores, p5_rates, p7_found, p7_leaks)}
+#: Probability from which a document counts as abusive, hateful or sexual.
+ABUSE_SCORE = 0.5
+
+
+def p8_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its score, its worst sentence and the nearest labelled example."""
+    return scored_documents(table(spark, sf, "documents"), table(spark, sf, "review_label"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p8_scores(spark, sf).where(F.col("score") >= ABUSE_SCORE).select("doc_id").distinct()
+
+
+def p8_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Per source: documents, cases and their share."""
+    per = p8_scores(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("score") >= ABUSE_SCORE).alias("n_cases"))
+    return per.withColumn("share", F.round(F.col("n_cases") / F.col("n_docs"), 4))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_scores, p5_rates, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
 
