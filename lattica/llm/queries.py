@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lattica.llm.abuse import scored_documents
 from lattica.llm.leakage import leaked_items
+from lattica.llm.packing import packed
 from lattica.llm.topn import top_per_group
 from lattica.llm.truncation import truncated
 from lattica.session import folded_id, table
@@ -44,6 +45,19 @@ def p5_rates(spark: SparkSession, sf: str) -> DataFrame:
     return per.withColumn("share", F.round(F.col("n_truncated") / F.col("n_values"), 4))
 
 
+def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """The container of every text, or of every piece of a text above the capacity, for every pack."""
+    return packed(table(spark, sf, "documents"), table(spark, sf, "pack_target"))
+
+
+def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Per pack: containers, tokens and the share of the space that is used."""
+    used = p6_packed(spark, sf).groupBy("pack_id").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
+    packs = table(spark, sf, "pack_target").select("pack_id", "capacity_tokens").distinct()
+    share = F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 4).alias("share_used")
+    return used.join(packs, "pack_id").select("pack_id", "capacity_tokens", "n_containers", "n_tokens", share)
+
+
 def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     """Documents and the items that leaked into them, with the shares of question and answer they hold."""
     return leaked_items(table(spark, sf, "documents"), table(spark, sf, "test_item"))
@@ -72,7 +86,7 @@ def p8_rates(spark: SparkSession, sf: str) -> DataFrame:
     return per.withColumn("share", F.round(F.col("n_cases") / F.col("n_docs"), 4))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_scores, p5_rates, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_scores, p5_rates, p6_packed, p6_fill, p7_found, p7_leaks, p8_found, p8_scores, p8_rates)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
 
