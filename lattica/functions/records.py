@@ -26,8 +26,11 @@ def refs_of(refs: Column, database: str) -> Column:
 
 def ref_ids(refs: Column, *databases: str) -> Column:
     """Ids of the cross-references of the databases, one database after the other."""
-    parts = [F.transform(F.filter(refs, lambda r, d=d: r.getField("database") == d), lambda r: r.getField("id")) for d in databases]
-    return F.coalesce(F.concat(*parts), F.array().cast("array<string>"))
+
+    def of(database: str) -> Column:
+        return F.transform(F.filter(refs, lambda r: r.getField("database") == database), lambda r: r.getField("id"))
+
+    return F.coalesce(F.concat(*map(of, databases)), F.array().cast("array<string>"))
 
 
 def properties_map(properties: Column) -> Column:

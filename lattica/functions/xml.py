@@ -6,7 +6,11 @@ import re
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lattica.schemas import struct
 
 ARTICLE = (
     "pmid STRING, title STRING, abstract STRING, journal STRING, journal_abbrev STRING, year STRING, volume STRING, issue STRING, pages STRING, doi STRING, pmc STRING, "
@@ -72,10 +76,13 @@ def articles_of(text: str | None, compat: bool = False) -> list[dict]:
     return [r for x in found if (r := article(x, compat))]
 
 
-@F.pandas_udf(f"array<struct<{', '.join(c.strip().replace(' ', ': ', 1) for c in re.split(r',(?![^<]*>)', ARTICLE))}>>")
-def parse_articles(documents: pd.Series) -> pd.Series:
-    """Articles of each document."""
-    return documents.map(articles_of)
+def parse_articles(documents: Column | str, compat: bool = False) -> Column:
+    """Articles of each document, as an array of structs."""
+
+    def parse(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: articles_of(t, compat))
+
+    return F.pandas_udf(parse, T.ArrayType(struct(ARTICLE)))(documents)
 
 
 def paragraphs_of(text: str | None) -> str | None:
@@ -90,6 +97,6 @@ def paragraphs_of(text: str | None) -> str | None:
     return "\n\n".join(x for x in found if x) or None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def paragraphs(documents: pd.Series) -> pd.Series:
     return documents.map(paragraphs_of)

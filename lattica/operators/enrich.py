@@ -10,6 +10,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def tail(k: int, n: int, big_k: int, big_n: int) -> float:
@@ -22,7 +23,7 @@ def tail(k: int, n: int, big_k: int, big_n: int) -> float:
     return min(1.0, math.fsum(math.exp(x) for x in logs)) if logs else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def tail_column(k: pd.Series, n: pd.Series, big_k: pd.Series, big_n: pd.Series) -> pd.Series:
     return pd.Series([tail(*map(int, x)) for x in zip(k, n, big_k, big_n)], dtype="float64")
 

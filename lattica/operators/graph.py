@@ -139,9 +139,8 @@ def undirected(edges: DataFrame) -> DataFrame:
     return edges.unionByName(turned)
 
 
-def selected(df: DataFrame, accessions: Sequence[str], cap: int = 5) -> list[str]:
+def selected(accessions: Sequence[str], cap: int = 5) -> list[str]:
     """Accessions asked for, each once in the order of asking, at most cap (between 1 and 5) of them."""
-    del df
     return list(dict.fromkeys(accessions))[: max(1, min(5, cap))]
 
 
@@ -183,7 +182,7 @@ def context(graph: PropertyGraph, members: DataFrame) -> DataFrame:
         return df.groupBy("src").agg(*(F.array_sort(F.collect_list(F.struct(*cols.split()))).alias(name) for name, cols in parts.items()))
 
     features = graph.edges("HAS_FEATURE").join(asked, "src", "left_semi").join(graph.nodes("ProteinFeature").withColumnRenamed("accession", "dst"), "dst")
-    terms = graph.edges("HAS_GO_ANNOTATION").join(asked, "src", "left_semi").join(graph.nodes("GOTerm").drop("go_id").withColumn("dst", graph.nodes("GOTerm")["go_id"]), "dst")
+    terms = graph.edges("HAS_GO_ANNOTATION").drop("go_id").join(asked, "src", "left_semi").join(graph.nodes("GOTerm").withColumnRenamed("go_id", "dst"), "dst")
     cited = graph.edges("CITED_IN").join(asked, "src", "left_semi").join(graph.nodes("PubMedArticle").withColumn("dst", F.col("pmid")), "dst")
     chain = graph.edges("HAS_FEATURE").join(asked, "src", "left_semi").select("src", F.col("dst").alias("feature"))
     evidence = chain.join(graph.edges("EVIDENCED_BY").select(F.col("src").alias("feature"), "dst"), "feature").join(graph.nodes("PubMedArticle").withColumn("dst", F.col("pmid")), "dst")

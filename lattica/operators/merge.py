@@ -19,9 +19,10 @@ from lattica.session import INTERNAL
 HAS, SEQ = f"{INTERNAL}has_", f"{INTERNAL}seq"
 
 
-def _marked(batch: DataFrame, keys: Sequence[str], schema: T.StructType, order: str | None, rank: int) -> DataFrame:
+def _marked(batch: DataFrame, keys: Sequence[str], schema: T.StructType, order: str | None, kind: T.DataType | None, rank: int) -> DataFrame:
     """The batch with all columns of the schema, a flag for each property it has, and (rank, order) as its place in time."""
-    place = F.struct(F.lit(rank).alias("rank"), (F.col(f"`{order}`") if order and order in batch.columns else F.lit(0)).cast("bigint").alias("at"))
+    at = F.col(f"`{order}`") if order and order in batch.columns else F.lit(None)
+    place = F.struct(F.lit(rank).alias("rank"), at.cast(kind or T.LongType()).alias("at"))
     columns = [F.col(f"`{k}`") for k in keys]
     for f in schema.fields:
         if f.name not in keys:
@@ -31,14 +32,15 @@ def _marked(batch: DataFrame, keys: Sequence[str], schema: T.StructType, order:
 
 
 def merge(current: DataFrame | None, batches: Sequence[DataFrame], keys: Sequence[str], schema: T.StructType, order: str | None = None) -> DataFrame:
-    """current with the batches merged in, the later batch last; inside a batch the row with the highest `order` wins.
+    """current with the batches merged in, the later batch last; inside a batch the row with the highest `order` (any type that sorts) wins.
 
     Rows with a null key are left out. Rows of equal order and key must be equal, else one of them wins. An empty batch
     changes nothing; merging a batch twice gives the same as once.
     """
     parts = ([] if current is None else [current.select(*(f.name for f in schema.fields))]) + list(batches)
     first = 0 if current is None else -1
-    marked = [_marked(p, keys, schema, order if i + first >= 0 else None, i + first) for i, p in enumerate(parts)]
+    kind = next((b.schema[order].dataType for b in batches if order and order in b.columns), None)
+    marked = [_marked(p, keys, schema, order if i + first >= 0 else None, kind, i + first) for i, p in enumerate(parts)]
     rows = reduce(DataFrame.unionByName, marked).where(reduce(lambda a, b: a & b, (F.col(f"`{k}`").isNotNull() for k in keys)))
     last = [F.max_by(f"`{f.name}`", F.when(F.col(HAS + f.name), F.col(SEQ))).alias(f.name) for f in schema.fields if f.name not in keys]
     merged = rows.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(*last) if last else rows.select(*(F.col(f"`{k}`") for k in keys)).distinct()

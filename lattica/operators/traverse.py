@@ -23,7 +23,7 @@ def neighbors(edges: DataFrame, starts: DataFrame, max_hops: int = 1) -> DataFra
     """
     base = starts.select(F.col("accession").alias("start")).where("start is not null").distinct()
     stored = edges.select("src", "dst").where("src is not null and dst is not null").withColumn("edge", F.struct("src", "dst"))
-    both = undirected(stored)
+    both = staged(undirected(stored), "edges")  # read once per hop
     step = both.select("src", "dst").distinct()
     known = staged(base.select("start", F.col("start").alias("accession"), F.lit(0).alias("hops")), "near")
     frontier = known
@@ -72,7 +72,7 @@ def expand(partners: DataFrame, seeds: list[str], max_nodes: int | None = None)
     known = spark.createDataFrame(first, "accession string, seq bigint, level int")
     frontier, last, level = known, len(first), 0
     limit = max_nodes if max_nodes is not None else 1 << 62
-    step = partners.select(F.col("src").alias("accession"), "dst", "rank").where("dst is not null")
+    step = staged(partners.select(F.col("src").alias("accession"), "dst", "rank").where("dst is not null"), "edges")  # read once per level
     while last:
         level += 1
         met = frontier.where(F.col("seq") <= limit).join(step, "accession").groupBy(F.col("dst").alias("accession")).agg(F.min(F.struct("seq", "rank")).alias("at"))
@@ -98,7 +98,7 @@ def closure(edges: DataFrame, starts: DataFrame, relations: list[str] | None = N
     """
     used = edges if relations is None else edges.where(F.col("relation").isin(*relations))
     a, b = ("parent", "child") if down else ("child", "parent")
-    step = used.select(F.col(a).alias("at"), F.col(b).alias("to")).where("at is not null and to is not null").distinct()
+    step = staged(used.select(F.col(a).alias("at"), F.col(b).alias("to")).where("at is not null and to is not null").distinct(), "edges")
     frontier = starts.select(F.col("term").alias("start"), F.col("term").alias("at")).distinct()
     known: DataFrame | None = None
     for depth in range(1, max_depth + 1):
