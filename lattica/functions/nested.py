@@ -62,7 +62,7 @@ def cross_references(newer: Column, older: Column) -> Column:
     """Cross-references as array<struct<database, id, properties: array<struct<key, value>>>>.
 
     The newer field is taken if it is not null, else the older one: JSON, with the database also as `type` and the
-    properties as a list of pairs or as an object.
+    properties as a list of pairs or as an object, whose members come in the order of their names.
     """
 
     def pair(p: Column) -> Column:

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lattica.functions.text import messages, prompt_context, user_prompt
 
@@ -48,14 +49,13 @@ def offline(found: list[dict[str, str]]) -> str:
 
 def complete(df: DataFrame, function: Completion = offline, column: str = "messages", out: str = "completion") -> DataFrame:
     """df with the completion of its messages (array of role and content). The function is sent to the tasks; null messages stay null."""
-    schema = df.select(F.to_json(column).alias(column), *(c for c in df.columns if c != column)).withColumn(out, F.lit("")).schema
-
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            part[out] = [None if m is None else function(json.loads(m)) for m in part[column]]
+            part[out] = [function(json.loads(m)) if isinstance(m, str) else None for m in part[column]]
             yield part
 
     flat = df.select(F.to_json(column).alias(column), *(c for c in df.columns if c != column))
+    schema = T.StructType([*flat.schema.fields, T.StructField(out, T.StringType())])
     return flat.mapInPandas(run, schema).withColumn(column, F.from_json(column, "array<struct<role:string,content:string>>"))
 
 
