@@ -2,8 +2,9 @@
 
 Each text is tokenised once. Its tokens, hashed, make a vector that is projected to a few dimensions; after scaling by the
 mean and spread of all texts the coordinates give a Hilbert key. Texts are range-sorted by that key, and every range is
-packed on its own: a window runs along the curve, a container opens with the first text of the window, and then takes the
-largest text of the window that still fits, the nearest of equal ones. A text larger than a container is divided into full
+packed on its own: a window runs along the curve, a container opens with the largest text of the window (or with the first
+one, once that has waited for as many texts as the window holds), and then takes the largest text that still fits, the
+nearest of equal ones. A text larger than a container is divided into full
 containers and a rest, which is packed like any other text; no other text is divided.
 """
 
@@ -133,7 +134,7 @@ class Window:
 
 def fill(sizes: Iterator[int], capacity: int, window: int = WINDOW) -> Iterator[tuple[int, int]]:
     """(place, container) for every size, none above capacity; containers are numbered from 0."""
-    held, incoming, container, ended = Window(), enumerate(sizes), 0, False
+    held, incoming, container, ended, read = Window(), enumerate(sizes), 0, False, 0
     while True:
         while not ended and len(held.size) < window:
             nxt = next(incoming, None)
@@ -141,10 +142,13 @@ def fill(sizes: Iterator[int], capacity: int, window: int = WINDOW) -> Iterator[
                 ended = True
             else:
                 held.add(*nxt)
+                read += 1
         if not held.size:
             return
         room = capacity
         place: int | None = next(iter(held.size))
+        if read - place <= 2 * window:
+            place = held.largest(capacity)
         while place is not None:
             room -= held.take(place)
             yield place, container
