@@ -14,9 +14,11 @@ def first_seen(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
 def cumulative(new: DataFrame, steps: DataFrame) -> DataFrame:
     """(label, seq, total) for every label at every step (column seq): the running sum of what is new.
 
-    The steps are one short series per run; rows of a label pass through one window of that length.
+    Labels are those of a graph's schema, a dozen; the steps are one series per run, and rows of a label pass through one
+    window of that length.
     """
-    grid = new.select("label").distinct().crossJoin(steps.select("seq").distinct())  # a few labels
+    labels = [r[0] for r in new.select("label").distinct().collect()]
+    grid = steps.select("seq").distinct().select(F.explode(F.array(*map(F.lit, labels)).cast("array<string>")).alias("label"), "seq")
     dense = grid.join(new, ["label", "seq"], "left")
     w = Window.partitionBy("label").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     return dense.select("label", "seq", F.sum(F.coalesce("n", F.lit(0))).over(w).alias("total"))
