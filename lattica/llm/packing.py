@@ -31,6 +31,9 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: Dimensions of the curve, bits per dimension, buckets of hashed tokens.
 DIMENSIONS, BITS, BUCKETS = 4, 10, 4096
 
+#: Packs of one call: each text gets a row for each.
+MOST_PACKS = 100
+
 #: Texts in the window that a container is filled from.
 WINDOW = 4096
 
@@ -212,8 +215,7 @@ def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def packed(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(pack_id, container_id, doc_id, piece_no, first_token, n_tokens): the place of every text in every pack.
 
-    docs has doc_id and text; packs has pack_id and capacity_tokens (a small table; it is broadcast only below the
-    session's threshold). Null and empty texts have no tokens and get no row; blank ones have tokens. A text within the
+    docs has doc_id and text; packs has pack_id and capacity_tokens, at most MOST_PACKS rows (more are an error). Null and empty texts have no tokens and get no row; blank ones have tokens. A text within the
     capacity has one piece, number 0. Rows delivered twice are packed twice. Capacities that are null or below 1 are left
     out. An empty table on either side gives no rows. vocabulary is read on the driver and sent to the tasks.
     """
@@ -227,9 +229,11 @@ def packed(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCABULARY, patt
     spread = measured.agg(*(f(f"x{k}") for k in range(DIMENSIONS) for f in (F.avg, F.stddev_pop))).first()
     mean, width = np.array([spread[2 * k] or 0.0 for k in range(DIMENSIONS)]), np.array([spread[2 * k + 1] or 1.0 for k in range(DIMENSIONS)])
     keyed = measured.mapInArrow(_keyer(mean, width), f"doc_id {kind}, n_tokens int, curve bigint")
-    targets = packs.select(F.col("pack_id").cast("int").alias("pack_id"), F.col("capacity_tokens").cast("int").alias("capacity")).where("capacity >= 1 and pack_id is not null").distinct()
-    # every text goes into every pack: a stated, small set of containers against all rows
-    each = keyed.crossJoin(targets).select("pack_id", "capacity", "doc_id", "n_tokens", "curve")
+    rows = packs.select(F.col("pack_id").cast("int"), F.col("capacity_tokens").cast("int")).where("capacity_tokens >= 1 and pack_id is not null").distinct().limit(MOST_PACKS + 1).collect()
+    if len(rows) > MOST_PACKS:
+        raise ValueError(f"more than {MOST_PACKS} packs; pack them in several calls")
+    targets = F.array(*(F.struct(F.lit(p).alias("pack_id"), F.lit(c).alias("capacity")) for p, c in sorted(rows))).cast("array<struct<pack_id: int, capacity: int>>")
+    each = keyed.select("doc_id", "n_tokens", "curve", F.explode(targets).alias("t")).select("t.pack_id", "t.capacity", "doc_id", "n_tokens", "curve")
     placed = each.repartitionByRange("pack_id", "curve", "doc_id").sortWithinPartitions("pack_id", "capacity", "curve", "doc_id")
     schema = f"pack_id int, container_id string, doc_id {kind}, piece_no int, first_token int, n_tokens int"
     return placed.select("pack_id", "capacity", "doc_id", "n_tokens").mapInArrow(_packer, schema)
