@@ -29,6 +29,9 @@ WORD_BUCKETS, FEATURE_BUCKETS = 1 << 20, 1 << 18
 OMISSIONS = ("...", "…", "... [more]", " [...]", " [truncated]", " (abstract shortened)", " (more)", " [continued]")
 BROKEN_TAILS = ("&", "&#", "&#9", "&am", "&nbs", "<", "<b", "</i", "<su", "�")
 
+#: Characters at the end in which an omission mark or a broken tail is looked for.
+LONGEST_MARK = 120
+
 _BROKEN = re.compile(r"\s*(?:&#?[A-Za-z0-9]{0,8}|</?[A-Za-z]{0,8}|�+)$")
 _BRACKET = re.compile(r"\s*(?:\.{3}|…)?\s*[\[(](?:\.{3}|…|[^\[\]()]{0,40}\b(?:more|truncat\w*|shorten\w*|cut|continu\w*|abridg\w*|omitted)\b[^\[\]()]{0,40})[\])]$", re.I)
 _ELLIPSIS = re.compile(r"\s*(?:\.{3,}|…)$")
@@ -44,12 +47,17 @@ def bucket(text: str, size: int) -> int:
 def split_tail(text: str) -> tuple[str, str]:
     """The body of a value and what kind of mark stands at its end: broken, bracket, ellipsis or none."""
     body = text.rstrip()
-    for kind, found in (("broken", _BROKEN.search(body)), ("bracket", _BRACKET.search(body)), ("ellipsis", _ELLIPSIS.search(body))):
-        if found:
-            return body[: found.start()], kind
+    tail = body[-LONGEST_MARK:]  # a mark is shorter than that
+    for kind, pattern in (("broken", _BROKEN), ("bracket", _BRACKET), ("ellipsis", _ELLIPSIS)):
+        if found := pattern.search(tail):
+            return body[: len(body) - len(tail) + found.start()].rstrip(), kind
     return body, "none"
 
 
+def ends_like_a_sentence(body: str) -> bool:
+    return bool(_SENTENCE_END.search(body.rstrip()[-4:]))
+
+
 def masked(token: str, first: bool) -> str:
     """A word for statistics: numbers as 0; words with a capital inside a sentence, which are mostly names, as N."""
     if token[0].isdigit():
@@ -59,46 +67,79 @@ def masked(token: str, first: bool) -> str:
     return _DIGITS.sub("0", token).lower()
 
 
-def masked_tokens(text: str) -> tuple[list[str], list[str]]:
-    raw = _TOKEN.findall(text)
-    out = []
-    for i, t in enumerate(raw):
-        out.append(masked(t, i == 0 or raw[i - 1] in ".!?:") if t[0].isalnum() else t)
-    return raw, out
-
-
-def ends_and_middles(texts: list[str], counts: np.ndarray) -> None:
-    """Add to counts[0] (ends of sentences), counts[1] (elsewhere): hashed last 1, 2, 3 words; counts[2]: whole words."""
-    ends: list[int] = []
-    middles: list[int] = []
-    whole: list[int] = []
-    for text in texts:
-        body, _ = split_tail(text)
-        raw, tokens = masked_tokens(body)
-        last = len(tokens) - 1
-        for i, t in enumerate(tokens):
-            if not t[0].isalnum():
-                continue
-            following = tokens[i + 1] if i < last else "."
-            into = ends if following in ".!?" and len(following) == 1 else middles
-            gram = t
-            into.append(bucket("1" + gram, WORD_BUCKETS))
-            for n in (2, 3):
-                if i - n + 1 < 0:
-                    break
-                gram = f"{tokens[i - n + 1]} {gram}"
-                into.append(bucket(f"{n}{gram}", WORD_BUCKETS))
-            if i < last:  # the last word may be half a word
-                whole.append(bucket(raw[i], WORD_BUCKETS))
-    for row, found in enumerate((ends, middles, whole)):
-        if found:
-            counts[row] += np.bincount(found, minlength=WORD_BUCKETS)
+_ENDS = ".!?"
+
+
+class Tokens:
+    """Tokens seen so far, each with what the statistics need, so that a text costs one look-up per token."""
+
+    def __init__(self, most: int = 300_000):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.facts: list[tuple[int, int, int, bool, bool, bool]] = []
+
+    def _add(self, t: str) -> int:
+        word = t[0].isalnum()
+        h = lambda x: zlib.crc32(x.encode("utf-8", "replace"))
+        self.facts.append((h(masked(t, False) if word else t), h(masked(t, True) if word else t), h(t), word, t in _ENDS, t in ".!?:"))
+        self.place[t] = len(self.facts) - 1
+        return len(self.facts) - 1
+
+    def of(self, text: str) -> list[int]:
+        get = self.place.get
+        return [i if (i := get(t)) is not None else self._add(t) for t in _TOKEN.findall(text)]
+
+
+def gram_bucket(n: int, hashes):
+    """Bucket of the n hashes given (first word first), arrays of unsigned 64-bit integers."""
+    x = np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    for h in hashes:
+        x = (x ^ h) * np.uint64(0xBF58476D1CE4E5B9)
+        x = x ^ (x >> np.uint64(29))
+    return (x & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
+
+
+def grams(tokens: Tokens, places: list[int], starts: np.ndarray):
+    """Of many texts end to end (places of tokens, first token of each text): facts, position in the text, hashes as they stand."""
+    facts = np.array(tokens.facts, np.int64).reshape(-1, 6)[np.array(places, np.int64)]
+    size = len(places)
+    first = np.zeros(size, bool)
+    first[1:] = facts[:-1, 5] == 1
+    first[starts[starts < size]] = True
+    inside = np.arange(size) - np.repeat(starts, np.diff(np.append(starts, size)))
+    return facts, inside, np.where(first, facts[:, 1], facts[:, 0]).astype(np.uint64)
+
+
+def ends_and_middles(texts: list[str], counts: np.ndarray, tokens: Tokens) -> None:
+    """Add to counts[0] (ends of sentences), counts[1] (elsewhere): hashed last 1, 2, 3 tokens; counts[2]: whole words."""
+    if len(tokens.facts) > tokens.most:
+        tokens.clear()
+    per_text = [x for t in texts if (x := tokens.of(split_tail(t)[0]))]
+    if not per_text:
+        return
+    places = [i for x in per_text for i in x]
+    starts = np.cumsum([0, *map(len, per_text)])[:-1]
+    facts, inside, hashes = grams(tokens, places, starts)
+    last = np.zeros(len(places), bool)
+    last[np.append(starts[1:], len(places)) - 1] = True
+    word = facts[:, 3] == 1
+    ends = last.copy()
+    ends[:-1] |= facts[1:, 4] == 1
+    for n in (1, 2, 3):
+        at = np.flatnonzero(word & (inside >= n - 1))
+        buckets = gram_bucket(n, [hashes[at - k] for k in range(n - 1, -1, -1)])
+        for row, here in ((0, ends[at]), (1, ~ends[at])):
+            counts[row] += np.bincount(buckets[here], minlength=WORD_BUCKETS)
+    counts[2] += np.bincount(facts[word & ~last, 2] & (WORD_BUCKETS - 1), minlength=WORD_BUCKETS)  # the last word may be half a word
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((3, WORD_BUCKETS), np.int64)
+    counts, tokens = np.zeros((3, WORD_BUCKETS), np.int64), Tokens()
     for batch in batches:
-        ends_and_middles([x for x in batch.column(0).to_pylist() if x], counts)
+        ends_and_middles([x for x in batch.column(0).to_pylist() if x], counts, tokens)
     for row in range(3):
         at = np.flatnonzero(counts[row])
         if len(at):
@@ -153,37 +194,43 @@ def gather(values: DataFrame) -> Statistics:
     return Statistics(ratio, np.minimum(counts[2], 255).astype(np.uint8), length_limits(lengths))
 
 
+_shared_tokens = Tokens()
+
+
 def features(text: str, source: str | None, stats: Statistics) -> list[int]:
     """Hashed features of a value's end. Only the end is looked at, but the length is that of the whole value."""
     body, kind = split_tail(text)
     blank = "_" if text != text.rstrip() else ""
     close = body[-1:] or "empty"
-    shut = "end" if _SENTENCE_END.search(body) else "open"
+    shut = "end" if ends_like_a_sentence(body) else "open"
     group = "a" if close.isalpha() else "0" if close.isdigit() else close
-    raw, tokens = masked_tokens(body[-160:])
-    words = [(r, m) for r, m in zip(raw, tokens) if m[0].isalnum()]
     state = f"{kind}{shut}"
     out = [f"s {state}", f"c {state} {group}", f"b {state} {blank}", f"r {text[-3:]!r}"]
     limit = distance_to_limit(text, source, stats)
     out += [f"limit {limit}", f"limit {limit} {state}"]
-    if words:
-        run = [m for _, m in words]
-        gram = run[-1]
-        for n in (1, 2, 3):
-            if n > 1:
-                if len(run) < n:
-                    break
-                gram = f"{run[-n]} {gram}"
-            level = int(np.clip(round(float(stats.log_ratio[bucket(f"{n}{gram}", WORD_BUCKETS)])), -6, 6))
-            out += [f"g{n} {shut} {gram}", f"q{n} {state} {level}"]
-        known = int(stats.known[bucket(words[-1][0], WORD_BUCKETS)])
+    tail = body[-160:]
+    if len(_shared_tokens.facts) > _shared_tokens.most:
+        _shared_tokens.clear()
+    places = _shared_tokens.of(tail)
+    facts = [_shared_tokens.facts[i] for i in places]
+    last = next((i for i in range(len(facts) - 1, -1, -1) if facts[i][3]), None)
+    if last is not None:
+        hashes = np.array([facts[i][1] if i == 0 or facts[i - 1][5] else facts[i][0] for i in range(max(0, last - 2), last + 1)], np.uint64)
+        for n in range(1, len(hashes) + 1):
+            at = int(gram_bucket(n, [hashes[len(hashes) - n + k : len(hashes) - n + k + 1] for k in range(n)])[0])
+            level = max(-6, min(6, round(float(stats.log_ratio[at]))))
+            out += [f"g{n} {shut} {at}", f"q{n} {state} {level}"]
+        known = int(stats.known[facts[last][2] & (WORD_BUCKETS - 1)])
         degree = "0" if known == 0 else "1" if known < 2 else "2" if known < 6 else "3"
-        out += [f"k {state} {degree}", f"k {state} {degree} {words[-1][1] == 'N'}"]
-    starts = re.split(r"(?<=[.!?])\s+", body[-160:])[-1].split(" ", 2)
-    out += [f"o {state} {starts[0]}", f"o {state} {len(tokens) - 1 - max((i for i, t in enumerate(tokens[:-1]) if t in '.!?'), default=-1) < 4}"]
+        name = facts[last][0] == _NAME and not (last == 0 or facts[last - 1][5])
+        out += [f"k {state} {degree}", f"k {state} {degree} {name}"]
+    sentence = re.split(r"(?<=[.!?])\s+", tail)[-1].split(" ", 2)[0]
+    since = next((k for k in range(1, len(facts)) if facts[len(facts) - 1 - k][4]), len(facts))
+    out += [f"o {state} {sentence}", f"o {state} {since <= 4}"]
     return [bucket(x, FEATURE_BUCKETS) for x in out]
 
 
+_NAME = zlib.crc32(b"N")
 WIDTH = 24
 
 
@@ -218,7 +265,7 @@ def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def looks_intact(text: str, source: str | None, stats: Statistics) -> bool:
     _, kind = split_tail(text)
-    whole = kind == "none" and bool(_SENTENCE_END.search(text)) and len(text) >= 80
+    whole = kind == "none" and ends_like_a_sentence(text) and len(text) >= 80
     return whole and distance_to_limit(text, source, stats) == "far"
 
 
@@ -254,12 +301,12 @@ def examples(intact: list[tuple[str | None, str]], stats: Statistics, seed: int
             if kind < 0.5:
                 space = piece.rfind(" ")
                 piece = piece[: space if space > 20 else at].rstrip(" ,;:")
-                if not _SENTENCE_END.search(piece):
+                if not ends_like_a_sentence(piece):
                     add(piece + OMISSIONS[int(rng.integers(len(OMISSIONS)))], source, 1)
                     continue
             if kind < 0.6:
                 add(piece + (" " if rng.random() < 0.5 else "") + BROKEN_TAILS[int(rng.integers(len(BROKEN_TAILS)))], source, 1)
-            elif not _SENTENCE_END.search(piece):
+            elif not ends_like_a_sentence(piece):
                 add(piece, source, 1)
     return matrix(x), np.array(y, np.float64)
 
