@@ -34,9 +34,22 @@ def shared_dir(spark: SparkSession) -> str:
     return jsc.getCheckpointDir().get().rstrip("/")
 
 
+_made: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/lattica-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; clear_staging removes what stands there."""
+    _made.append(f"{shared_dir(spark)}/lattica-{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear_staging(spark: SparkSession) -> int:
+    """Delete the staged tables of this driver. DataFrames that were built on them can no longer be read."""
+    jvm, n = spark._jvm, 0
+    while _made:
+        at = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
+    return n
 
 
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:

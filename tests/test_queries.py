@@ -35,6 +35,15 @@ def test_contract(spark):
     assert __spark_entry__.entry(spark).columns == ["src_table", "key_id"]
 
 
+def test_staged_tables_can_be_cleared(spark):
+    from lattica.session import clear_staging, shared_dir, staged
+
+    clear_staging(spark)
+    df = staged(spark.range(3).toDF("n"), "some")
+    assert df.count() == 3 and df.inputFiles()[0].startswith(shared_dir(spark).split(":")[0])
+    assert clear_staging(spark) == 1 and clear_staging(spark) == 0
+
+
 def test_streams(spark, tmp_path):
     from lattica.operators.graph import PropertyGraph
     from lattica.streaming.upsert import arrivals, upsert_stream
