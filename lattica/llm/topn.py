@@ -43,7 +43,7 @@ def read_guided(path: str, n: int) -> tuple[pa.Table, dict[str, int]]:
     import pyarrow.fs
     import pyarrow.parquet as pq
 
-    fs, name = pyarrow.fs.FileSystem.from_uri(path)
+    fs, name = pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     ids: dict[str, int] = {}
     names: list[str] = []
     threshold = np.full(0, -np.inf)
