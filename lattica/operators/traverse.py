@@ -37,13 +37,20 @@ def neighbors(edges: DataFrame, starts: DataFrame, max_hops: int = 1) -> DataFra
 
 
 def closed_trails(both: DataFrame, base: DataFrame, max_hops: int) -> DataFrame:
-    """(start, accession = start, hops) of the shortest closed trail through each start, if it has at most max_hops edges."""
+    """(start, accession = start, hops) of the shortest closed trail through each start, if it has at most max_hops edges.
+
+    A start that is closed walks no further, and the last hop takes only edges that lead home, so that the partners of the
+    partners of a hub are not multiplied once more.
+    """
     leave = base.join(both.withColumnRenamed("src", "start"), "start").select("start", F.col("edge").alias("first"), F.col("dst").alias("at"))
     walk = staged(leave.distinct(), "trail")
     found = walk.where("at = start").select("start", F.lit(1).alias("hops"))
     seen = walk
+    step = both.select(F.col("src").alias("at"), F.col("dst").alias("to"), "edge")
+    home = step.join(base.withColumnRenamed("start", "to"), "to")
     for hop in range(2, max_hops + 1):
-        onward = walk.where("at <> start").join(both.select(F.col("src").alias("at"), F.col("dst").alias("to"), "edge"), "at").where("edge <> first")
+        left = walk.join(found.select("start"), "start", "left_anti")
+        onward = (left.join(step, "at") if hop < max_hops else left.join(home.withColumn("start", F.col("to")), ["at", "start"])).where("edge <> first")
         walk = staged(onward.select("start", "first", F.col("to").alias("at")).distinct().join(seen, ["start", "first", "at"], "left_anti"), "trail")
         if not walk.head(1):
             break

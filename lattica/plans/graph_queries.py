@@ -85,9 +85,14 @@ def best_edges(spark: SparkSession, sf: str) -> DataFrame:
     return si.where("src is not null and dst is not null and src <> dst and score is not null").groupBy("src", "dst").agg(F.max("score").alias("score"))
 
 
-def top_edges(spark: SparkSession, sf: str, k: int = 6) -> DataFrame:
+def top_edges(spark: SparkSession, sf: str, k: int = 6, least: float = 0.0) -> DataFrame:
     order = Window.partitionBy("src").orderBy(F.col("score").desc(), "dst")
-    return best_edges(spark, sf).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best_edges(spark, sf).where(F.col("score") >= least).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def partner_ranks(spark: SparkSession, sf: str, threshold: int = 700, limit: int = 50) -> DataFrame:
+    """Per protein the best `limit` partners with a score from threshold / 1000, as ingest.partner_edges takes them, between network ids."""
+    return top_edges(spark, sf, limit, threshold / 1000)
 
 
 def seed_of(edges: DataFrame) -> str:
@@ -259,6 +264,33 @@ def neighbors_closed_trail(spark, sf):
     return found.where(F.col("accession") == F.col("start")).select("start", "hops")
 
 
+@query(f"""
+with recursive {_SQL_EDGE}, {_SQL_SEED},
+bothways as (select src, dst from edge union select dst, src from edge),
+w as (select id, 0 as hops from seed union select b.dst, w.hops + 1 from w join bothways b on b.src = w.id where w.hops < 3),
+r as (select id as accession, min(hops) as hops from w group by id having min(hops) > 0)
+select accession, hops from r where accession <> (select id from seed)
+""")
+def neighbors_khop_all(spark, sf):
+    """neighbors_khop over every edge, not the six best of each protein."""
+    e = best_edges(spark, sf)
+    seed = seed_of(e)
+    found = traverse.neighbors(e.select("src", "dst"), spark.createDataFrame([(seed,)], "accession string"), 3)
+    return found.where(F.col("accession") != F.col("start")).select("accession", "hops")
+
+
+@query(f"""
+with {_SQL_EDGE}, {_SQL_SEED}, pair as (select distinct a.src as start from edge a join edge b on a.src = b.dst and a.dst = b.src)
+select id as start, 2 as hops from seed where id in (select start from pair)
+""")
+def neighbors_closed_trail_all(spark, sf):
+    """neighbors_closed_trail over every edge."""
+    e = best_edges(spark, sf)
+    seed = seed_of(e)
+    found = traverse.neighbors(e.select("src", "dst"), spark.createDataFrame([(seed,)], "accession string"), 2)
+    return found.where(F.col("accession") == F.col("start")).select("start", "hops")
+
+
 _SQL_BFS = f"""
 with recursive {_SQL_TOP}, {_SQL_SEED},
 w as (select id, 0 as level from seed union select t.dst, w.level + 1 from w join top t on t.src = w.id where w.level < 30),
@@ -270,6 +302,11 @@ def expansion(spark: SparkSession, sf: str, cap: int | None = None) -> traverse.
     return traverse.expand(top_edges(spark, sf).select("src", "dst", "rank"), [seed_of(best_edges(spark, sf))], cap)
 
 
+def partner_expansion(spark: SparkSession, sf: str, cap: int | None = None) -> traverse.Expansion:
+    """Growth over the partners the engine's ingest takes (threshold 700, limit 50)."""
+    return traverse.expand(partner_ranks(spark, sf).select("src", "dst", "rank"), [seed_of(best_edges(spark, sf))], cap)
+
+
 @query(f"{_SQL_BFS} select id as accession, level from lev")
 def bfs_levels(spark, sf):
     return expansion(spark, sf).order.select("accession", "level")
@@ -280,9 +317,19 @@ def bfs_stats(spark, sf):
     return expansion(spark, sf).order.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def bfs_levels_partners(spark, sf):
+    return partner_expansion(spark, sf).order.select("accession", "level")
+
+
+@query()
+def bfs_stats_partners(spark, sf):
+    return partner_expansion(spark, sf).order.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query()
 def bfs_capped(spark, sf):
-    return expansion(spark, sf, 40).order
+    return partner_expansion(spark, sf, 40).order
 
 
 @query("""
