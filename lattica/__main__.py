@@ -32,7 +32,7 @@ def network(spark: SparkSession, g: PropertyGraph, accessions: list[str]):
     missing = [r[0] for r in members.join(g.accessions(), "accession", "left_anti").collect()]
     if missing:
         raise ValueError(f"not in the graph: {', '.join(sorted(missing))}")
-    contexts = g.context(members).agg(F.array_sort(F.collect_list("context")).alias("contexts"))  # at most five
+    contexts = g.context(members).agg(F.array_sort(F.collect_list(text.network_context(F.col("context")))).alias("contexts"))  # at most five
     edges = g.induced_edges(members).agg(F.array_sort(F.collect_list(F.struct("src", "dst", "score"))).alias("edges"))
     one = contexts.withColumn("one", F.lit(1)).join(edges.withColumn("one", F.lit(1)), "one")  # a row each
     prompt = text.network_prompt(F.array(*map(F.lit, accessions)), F.col("contexts"), F.col("edges"), F.lit(None).cast("array<string>"))

@@ -48,6 +48,17 @@ def prompt_context(context: Column) -> Column:
 SYSTEM = "You describe proteins for biologists. Use only the data given, name the records you rely on and say what is missing."
 
 
+def network_context(context: Column) -> Column:
+    """A whole context, but full texts of its articles by their beginning (full_text_excerpt) and length (full_text_char_count)."""
+
+    def packed(a: Column) -> Column:
+        found = excerpt(a.getField("full_text"))
+        count = F.when(a.getField("full_text").isNotNull(), found.getField("characters"))
+        return a.withField("full_text_excerpt", found.getField("excerpt")).withField("full_text_char_count", count).dropFields("full_text")
+
+    return context.withField("articles", F.transform(context.getField("articles"), packed))
+
+
 def user_prompt(accession: Column, context: Column, files: Column) -> Column:
     """The prompt for one protein: the data as JSON, structure files by their names in the manifest."""
     return F.concat(
@@ -57,7 +68,7 @@ def user_prompt(accession: Column, context: Column, files: Column) -> Column:
 
 
 def network_prompt(accessions: Column, contexts: Column, edges: Column, files: Column) -> Column:
-    """The prompt for several proteins; up to two are to be described in moderate detail, more of them briefly."""
+    """The prompt for several proteins, their contexts as network_context gives them; up to two are to be described in moderate detail, more of them briefly."""
     detail = F.when(F.size(accessions) <= 2, F.lit("in moderate detail")).otherwise(F.lit("briefly"))
     return F.concat(
         F.lit("Describe each of these proteins "), detail, F.lit(" and how they act together: "), F.array_join(accessions, ", "),

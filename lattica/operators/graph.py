@@ -183,19 +183,24 @@ def context(graph: PropertyGraph, members: DataFrame) -> DataFrame:
 
     features = graph.edges("HAS_FEATURE").join(asked, "src", "left_semi").join(graph.nodes("ProteinFeature").withColumnRenamed("accession", "dst"), "dst")
     terms = graph.edges("HAS_GO_ANNOTATION").drop("go_id").join(asked, "src", "left_semi").join(graph.nodes("GOTerm").withColumnRenamed("go_id", "dst"), "dst")
-    cited = graph.edges("CITED_IN").join(asked, "src", "left_semi").join(graph.nodes("PubMedArticle").withColumn("dst", F.col("pmid")), "dst")
+    article = graph.nodes("PubMedArticle")
+    stored = article.select(F.col("pmid").alias("dst"))
+    cited = graph.edges("CITED_IN").join(asked, "src", "left_semi").join(stored, "dst", "left_semi")
     chain = graph.edges("HAS_FEATURE").join(asked, "src", "left_semi").select("src", F.col("dst").alias("feature"))
-    evidence = chain.join(graph.edges("EVIDENCED_BY").select(F.col("src").alias("feature"), "dst"), "feature").join(graph.nodes("PubMedArticle").withColumn("dst", F.col("pmid")), "dst")
-    article = "pmid title journal year"
+    evidence = chain.join(graph.edges("EVIDENCED_BY").select(F.col("src").alias("feature"), "dst"), "feature").join(stored, "dst", "left_semi")
+    # each article once per protein before its properties come in, the cited ones first
+    met = cited.select("src", "dst", F.lit(0).alias("group")).unionByName(evidence.select("src", "dst", F.lit(1).alias("group"))).groupBy("src", "dst").agg(F.min("group").alias("group"))
+    named = met.where("coalesce(btrim(dst), '') <> ''").join(article.select(F.col("pmid").alias("dst"), F.struct(*article.columns).alias("article")), "dst")
     found = (
         m.join(protein.select("accession", F.struct(*protein.columns).alias("protein")), "accession", "left")
         .join(listed(features, features="dst name source_database type integrated", feature_relationships="dst start end score model").withColumnRenamed("src", "accession"), "accession", "left")
         .join(listed(terms, go_terms="dst name aspect definition is_obsolete", go_relationships="dst qualifier evidence_code eco_code reference assigned_by is_experimental").withColumnRenamed("src", "accession"), "accession", "left")
-        .join(listed(cited, cited_articles=article, cited_in="dst").withColumnRenamed("src", "accession"), "accession", "left")
-        .join(listed(evidence, evidence_articles=article, feature_evidenced_by="feature dst").withColumnRenamed("src", "accession"), "accession", "left")
+        .join(listed(cited, cited_in="dst").withColumnRenamed("src", "accession"), "accession", "left")
+        .join(listed(evidence, feature_evidenced_by="feature dst").withColumnRenamed("src", "accession"), "accession", "left")
+        .join(listed(named, articles="group dst article").withColumnRenamed("src", "accession"), "accession", "left")
     )
-    lists = ["features", "feature_relationships", "go_terms", "go_relationships", "cited_articles", "cited_in", "evidence_articles", "feature_evidenced_by"]
+    lists = ["features", "feature_relationships", "go_terms", "go_relationships", "cited_in", "feature_evidenced_by", "articles"]
     found = found.withColumns({c: F.coalesce(F.col(c), F.array().cast(found.schema[c].dataType)) for c in lists})
-    articles = F.filter(F.array_distinct(F.concat("cited_articles", "evidence_articles")), lambda a: F.coalesce(F.btrim(a.getField("pmid")), F.lit("")) != "")
+    articles = F.transform("articles", lambda a: a.getField("article"))
     links = F.struct("cited_in", "feature_evidenced_by").alias("article_relationships")
     return found.select("accession", F.struct("protein", "features", "feature_relationships", "go_terms", "go_relationships", articles.alias("articles"), links).alias("context"))

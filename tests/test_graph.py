@@ -131,6 +131,22 @@ def test_context_of_known_and_unknown(spark):
         describe(g.context(nodes(spark, "no"))).collect()
 
 
+def test_prompts_hold_whole_articles(spark):
+    from lattica.__main__ import network
+
+    g = graph.PropertyGraph(spark)
+    g.merge_nodes("Protein", nodes(spark, "P", "Q"))
+    article = [("1", "t", "an abstract", "10.1/x", ["A B"], ["Mice"], "x" * 3000), ("2", "u", None, None, None, None, None)]
+    g.merge_nodes("PubMedArticle", spark.createDataFrame(article, "pmid string, title string, abstract string, doi string, authors array<string>, mesh_terms array<string>, full_text string"))
+    g.merge_edges("CITED_IN", spark.createDataFrame([("P", "1"), ("P", "2"), ("Q", "2")], "src string, dst string"))
+    found = {a["pmid"]: a.asDict() for a in g.context(nodes(spark, "P")).first()["context"]["articles"]}
+    assert set(found["1"]) == set(node_schema("PubMedArticle").names)
+    assert (found["1"]["abstract"], found["1"]["doi"], found["1"]["authors"], found["1"]["mesh_terms"]) == ("an abstract", "10.1/x", ["A B"], ["Mice"])
+    assert "an abstract" in describe(g.context(nodes(spark, "P"))).first()["prompt"]
+    prompt = network(spark, g, ["P", "Q"]).first()["prompt"]
+    assert "an abstract" in prompt and '"full_text_char_count":3000' in prompt and f'"full_text_excerpt":"{"x" * 1200}"' in prompt and '"full_text"' not in prompt
+
+
 # ---- traversal
 
 
