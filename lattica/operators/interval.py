@@ -87,22 +87,24 @@ def chain_tag(chains: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(chains)), "_")
 
 
-def structure_manifest(features: DataFrame, structures: DataFrame, segs: DataFrame, lines: DataFrame, max_structures: int = 5) -> DataFrame:
+def structure_manifest(features: DataFrame, structures: DataFrame, segs: DataFrame, lines: DataFrame, max_structures: int = 5, files: bool = False) -> DataFrame:
     """The slice of each feature: (accession, feature, structure, kind, chain_tag, n_atoms).
 
     structures (accession, structure, place) lists the structures of a protein in order of preference; the first
     max_structures count. A feature (accession, feature, start, end) takes the first structure whose mapping gives a slice
     that is not empty (kind mapped); else the plain slice of the protein's first structure (kind plain); else no row.
+    files adds the slice's content and its chain_ranges.
     """
     ranked = structures.withColumn("n", F.row_number().over(Window.partitionBy("accession").orderBy("place", "structure"))).where(F.col("n") <= max_structures)
     valid = features.where("accession is not null and trim(accession) <> '' and start is not null and end is not null")
     on = project_features(valid.join(ranked, "accession"), segs, ["accession", "structure"])
     cut = slice_by_chains(lines, on.select("structure", F.struct("accession", "feature").alias("feature"), "chain_id", "lo", "hi").distinct())
-    tags = on.groupBy("accession", "feature", "structure", "n").agg(chain_tag(F.collect_list("chain_id")).alias("chain_tag"))
-    mapped = cut.select(F.col("feature.accession").alias("accession"), F.col("feature.feature").alias("feature"), "structure", "n_atoms").join(tags, ["accession", "feature", "structure"])
-    best = mapped.groupBy("accession", "feature").agg(F.min_by(F.struct("structure", "chain_tag", "n_atoms"), "n").alias("b"))
-    found = best.select("accession", "feature", "b.structure", F.lit("mapped").alias("kind"), "b.chain_tag", "b.n_atoms")
+    tags = on.groupBy("accession", "feature", "structure", "n").agg(chain_tag(F.collect_list("chain_id")).alias("chain_tag"), F.array_sort(F.collect_set(F.struct("chain_id", F.col("lo").alias("pdb_start"), F.col("hi").alias("pdb_end")))).alias("chain_ranges"))
+    extra = ["content", "chain_ranges"] if files else []
+    mapped = cut.select(F.col("feature.accession").alias("accession"), F.col("feature.feature").alias("feature"), "structure", "n_atoms", "content").join(tags, ["accession", "feature", "structure"])
+    best = mapped.groupBy("accession", "feature").agg(F.min_by(F.struct("structure", "chain_tag", "n_atoms", *extra), "n").alias("b"))
+    found = best.select("accession", "feature", "b.structure", F.lit("mapped").alias("kind"), "b.chain_tag", "b.n_atoms", *(f"b.{c}" for c in extra))
     rest = valid.join(found.select("accession", "feature"), ["accession", "feature"], "left_anti").join(ranked.where("n = 1").select("accession", "structure"), "accession")
-    plain = rest.join(atoms(lines).select("structure", "residue"), "structure").where(F.col("residue").between(F.col("start"), F.col("end")) & (F.col("start") > 0))
-    naive = plain.groupBy("accession", "feature", "structure").agg(F.count(F.lit(1)).alias("n_atoms"))
-    return found.unionByName(naive.select("accession", "feature", "structure", F.lit("plain").alias("kind"), F.lit("").alias("chain_tag"), "n_atoms"))
+    plain = rest.join(atoms(lines).select("structure", "residue", "line_no", "value"), "structure").where(F.col("residue").between(F.col("start"), F.col("end")) & (F.col("start") > 0))
+    naive = _files(plain, ["accession", "feature", "structure"]).withColumn("chain_ranges", F.array().cast(tags.schema["chain_ranges"].dataType))
+    return found.unionByName(naive.select("accession", "feature", "structure", F.lit("plain").alias("kind"), F.lit("").alias("chain_tag"), "n_atoms", *extra))
