@@ -97,8 +97,10 @@ def codes(ids: np.ndarray, gram: int, size: int, ends: np.ndarray) -> np.ndarray
         code = code * (size + 1) + part
         known &= part != size
     crossing = np.zeros(len(ids) + gram, bool)
+    starts = np.append(0, ends[:-1])
     for j in range(1, gram):
-        crossing[np.maximum(ends - j, 0)] = True
+        at = ends - j
+        crossing[at[at >= starts]] = True  # texts without words mark nothing
     known &= ~crossing[:n]
     out[:n][known] = code[known]
     return out

@@ -97,3 +97,15 @@ def test_operator(spark):
         assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 7), (1, 8)]
         assert all(r["question_share"] == 1 and r["answer_share"] == 1 for r in got)
     assert leakage.leaked_items(d.limit(0), i).collect() == [] and leakage.leaked_items(d, i.limit(0)).collect() == []
+
+
+def test_wordless_texts_cost_no_shingle():
+    import numpy as np
+
+    from lattica.llm.leakage import codes
+
+    ids = np.arange(7)
+    whole = codes(ids, 3, 10, np.array([4, 7]))
+    assert (whole >= 0).tolist() == [True, True, False, False, True, False, False]
+    assert (codes(ids, 3, 10, np.array([0, 0, 4, 4, 7])) == whole).all()
+    assert (codes(ids, 3, 10, np.array([0, 1, 1, 7])) >= 0).tolist() == [False, True, True, True, True, False, False]
