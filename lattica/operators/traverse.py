@@ -7,6 +7,7 @@ state of a level is written to the shared folder, so lineage stays short and a l
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,18 +98,20 @@ def expand(partners: DataFrame, seeds: list[str], max_nodes: int | None = None)
     return Expansion(order, min(last, limit), last)
 
 
-def closure(edges: DataFrame, starts: DataFrame, relations: list[str] | None = None, down: bool = False, max_depth: int = 100) -> DataFrame:
+def closure(edges: DataFrame, starts: DataFrame, relations: list[str] | None = None, down: bool = False, max_depth: int | None = None) -> DataFrame:
     """(start, term, depth): ancestors of each start over child -> parent edges (child, parent, relation), or descendants if down.
 
     relations limits the kinds of edges. The least depth is given; cycles end where nothing new is met. Starts are not
-    their own ancestors unless a cycle leads back.
+    their own ancestors unless a cycle leads back. Runs until nothing new is met, or to max_depth if that is given.
     """
     used = edges if relations is None else edges.where(F.col("relation").isin(*relations))
     a, b = ("parent", "child") if down else ("child", "parent")
     step = staged(used.select(F.col(a).alias("at"), F.col(b).alias("to")).where("at is not null and to is not null").distinct(), "edges")
     frontier = starts.select(F.col("term").alias("start"), F.col("term").alias("at")).distinct()
     known: DataFrame | None = None
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
+        if max_depth is not None and depth > max_depth:
+            break
         met = frontier.join(step, "at").select("start", F.col("to").alias("term")).distinct()
         if known is not None:
             met = met.join(known.select("start", "term"), ["start", "term"], "left_anti")
@@ -116,5 +119,7 @@ def closure(edges: DataFrame, starts: DataFrame, relations: list[str] | None = N
         if not fresh.head(1):
             break
         known = fresh if known is None else known.unionByName(fresh)
+        if depth % 16 == 0:
+            known = staged(known, "closure")  # deep ontologies: a short plan
         frontier = fresh.select("start", F.col("term").alias("at"))
     return known if known is not None else starts.sparkSession.createDataFrame([], "start string, term string, depth int")

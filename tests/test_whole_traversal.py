@@ -74,3 +74,9 @@ def test_trails_of_several_starts(spark, seed):
     names = sorted({x for e in edges for x in e})[:3]
     got = traverse.neighbors(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(n,) for n in names], "accession string"), 4)
     assert {(r["start"], r["accession"], r["hops"]) for r in got.collect()} == {(n, a, h) for n in names for a, h in trail_answer(edges, n, 4).items()}
+
+
+def test_closure_has_no_silent_depth(spark):
+    edges = spark.createDataFrame([(f"{i}", f"{i + 1}", "is_a") for i in range(103)], "child string, parent string, relation string")
+    got = traverse.closure(edges, spark.createDataFrame([("0",)], "term string"))
+    assert {r["term"]: r["depth"] for r in got.collect()} == {f"{i}": i for i in range(1, 104)}
