@@ -228,6 +228,17 @@ def induced_edges_distinct(spark, sf):
     return graph.induced_edges(best_edges(spark, sf), members(spark, sf), distinct=True)
 
 
+@query(f"""
+with {_SQL_EDGE}, m as (select distinct ncbiTaxonId as taxon_id, {_fold('stringId')} as id from string_mapping where ncbiTaxonId is not null and stringId is not null)
+select a.taxon_id, src, dst, score from edge join m a on a.id = src join m b on b.id = dst and b.taxon_id = a.taxon_id
+""")
+def induced_edges_by_taxon(spark, sf):
+    """Stored edges inside every taxon, with the taxon as key."""
+    known = table(spark, sf, "string_mapping").select(F.col("ncbiTaxonId").alias("taxon_id"), folded_id("stringId").alias("accession")).where("taxon_id is not null and accession is not null").distinct()
+    starts = best_edges(spark, sf).join(known.withColumnRenamed("accession", "src"), "src")
+    return starts.join(known.withColumnRenamed("accession", "dst"), ["taxon_id", "dst"]).select("taxon_id", "src", "dst", "score")
+
+
 @query(f"""
 with {_SQL_EDGE}, {_SQL_SEED},
 bothways as (select src, dst, score from edge union all select dst, src, score from edge),

@@ -80,3 +80,14 @@ def test_closure_has_no_silent_depth(spark):
     edges = spark.createDataFrame([(f"{i}", f"{i + 1}", "is_a") for i in range(103)], "child string, parent string, relation string")
     got = traverse.closure(edges, spark.createDataFrame([("0",)], "term string"))
     assert {r["term"]: r["depth"] for r in got.collect()} == {f"{i}": i for i in range(1, 104)}
+
+
+def test_induced_edges_of_every_taxon(spark, edge):
+    by, _ = edge
+    fold = lambda x: x.strip(" \t\n\r\x0b\x0c\xa0").upper()
+    taxa = {}
+    for i, t in duckdb.sql(f"select stringId, ncbiTaxonId from '{SF}/string_mapping.parquet' where stringId is not null and ncbiTaxonId is not null").fetchall():
+        taxa.setdefault(fold(i), set()).add(t)
+    want = sorted((t, a, b, s) for a, found in by.items() for b, s in found for t in taxa.get(a, set()) & taxa.get(b, set()))
+    assert len({x[0] for x in want}) > 1
+    assert sorted(tuple(r) for r in q.QUERIES["induced_edges_by_taxon"](spark, SF).collect()) == want
