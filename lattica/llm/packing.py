@@ -2,16 +2,17 @@
 
 Each text is tokenised once. Its tokens, hashed, make a vector that is projected to a few dimensions; after scaling by the
 mean and spread of all texts the coordinates give a Hilbert key. Texts are range-sorted by that key, and every range is
-packed on its own: a window runs along the curve, a container opens with the largest text of the window (or with the first
-one, once that has waited for as many texts as the window holds), and then takes the largest text that still fits, the
-nearest of equal ones. A text larger than a container is divided into full
-containers and a rest, which is packed like any other text; no other text is divided.
+packed on its own: a container opens with the text that has waited longest and takes, from a small window along the curve,
+the largest text that still fits, the nearest of equal ones. Only where more than a stated share of the container would
+stay empty are texts further along the curve looked at, in widening windows. A text larger than a container is divided
+into full containers and a rest, which is packed like any other text; no other text is divided.
 """
 
 from __future__ import annotations
 
 import base64
 import bisect
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,11 +32,11 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: Dimensions of the curve, bits per dimension, buckets of hashed tokens.
 DIMENSIONS, BITS, BUCKETS = 4, 10, 4096
 
-#: Packs of one call: each text gets a row for each.
-MOST_PACKS = 100
+#: Packs of one pass over the texts: each text gets a row for each.
+PACKS_AT_ONCE = 100
 
-#: Texts in the window that a container is filled from.
-WINDOW = 4096
+#: Texts of the windows that a container is filled from, and the share of a container that may stay empty rather than go on to the next window.
+WINDOWS, MAY_STAY_EMPTY = (16, 128, 1024), 0.02
 
 
 def encoding(ranks: bytes, pattern: str):
@@ -109,53 +110,88 @@ def _keyer(mean: np.ndarray, spread: np.ndarray) -> Callable:
             x = np.stack([batch.column(2 + k).to_numpy() for k in range(DIMENSIONS)], axis=1)
             share = 1 / (1 + np.exp(-1.7 * (x - mean) / spread))  # near the normal distribution's share below x
             cells = np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hilbert_key(cells))], ["doc_id", "n_tokens", "curve"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hilbert_key(cells)), *batch.columns[2:]], ["doc_id", "n_tokens", "curve", *_PLACE])
 
     return key
 
 
+_PLACE = [f"x{k}" for k in range(DIMENSIONS)]
+
+
 class Window:
-    """Texts along the curve, to take from by place or by size."""
+    """Texts by size; of equal sizes the nearest along the curve comes last."""
 
     def __init__(self) -> None:
-        self.by_size: list[tuple[int, int]] = []  # (size, -place): of equal sizes the nearest comes last
-        self.size: dict[int, int] = {}  # in the order of the curve
+        self.by_size: list[tuple[int, int]] = []
 
     def add(self, place: int, size: int) -> None:
         bisect.insort(self.by_size, (size, -place))
-        self.size[place] = size
 
-    def take(self, place: int) -> int:
-        size = self.size.pop(place)
+    def remove(self, place: int, size: int) -> None:
         del self.by_size[bisect.bisect_left(self.by_size, (size, -place))]
-        return size
 
     def largest(self, room: int) -> int | None:
         at = bisect.bisect_right(self.by_size, (room, 1))
         return -self.by_size[at - 1][1] if at else None
 
 
-def fill(sizes: Iterator[int], capacity: int, window: int = WINDOW) -> Iterator[tuple[int, int]]:
-    """(place, container) for every size, none above capacity; containers are numbered from 0."""
-    held, incoming, container, ended, read = Window(), enumerate(sizes), 0, False, 0
+def fill(sizes: Iterator[int], capacity: int, windows: tuple[int, ...] = WINDOWS, may_stay_empty: float = MAY_STAY_EMPTY) -> Iterator[tuple[int, int]]:
+    """(place, container) for every size, none above capacity; containers are numbered from 0.
+
+    windows: numbers of waiting texts, in the order of the curve, that belong to each window beyond those before it.
+    """
+    incoming, container, ended = enumerate(sizes), 0, False
+    size: dict[int, int] = {}
+    level: dict[int, int] = {}
+    queues: list[deque[int]] = [deque() for _ in windows]  # places per window, in the order of the curve; taken ones are skipped
+    held = [Window() for _ in windows]
+    count = [0] * len(windows)
+
+    def refill() -> None:
+        """Texts move up from the wider windows, and the widest reads on."""
+        nonlocal ended
+        for k in range(len(windows)):
+            while count[k] < windows[k]:
+                place = None
+                for wider in range(k + 1, len(windows)):
+                    while queues[wider] and level.get(queues[wider][0]) != wider:
+                        queues[wider].popleft()
+                    if queues[wider]:
+                        place = queues[wider].popleft()
+                        held[wider].remove(place, size[place])
+                        count[wider] -= 1
+                        break
+                if place is None:
+                    nxt = None if ended else next(incoming, None)
+                    if nxt is None:
+                        ended = True
+                        return
+                    place, size[nxt[0]] = nxt
+                level[place] = k
+                queues[k].append(place)
+                held[k].add(place, size[place])
+                count[k] += 1
+
+    def take(place: int) -> int:
+        k = level.pop(place)
+        held[k].remove(place, size[place])
+        count[k] -= 1
+        return size.pop(place)
+
     while True:
-        while not ended and len(held.size) < window:
-            nxt = next(incoming, None)
-            if nxt is None:
-                ended = True
-            else:
-                held.add(*nxt)
-                read += 1
-        if not held.size:
+        refill()
+        while queues[0] and level.get(queues[0][0]) != 0:
+            queues[0].popleft()
+        if not queues[0]:
             return
-        room = capacity
-        place: int | None = next(iter(held.size))
-        if read - place <= 2 * window:
-            place = held.largest(capacity)
+        room, place = capacity, queues[0].popleft()
         while place is not None:
-            room -= held.take(place)
+            room -= take(place)
             yield place, container
-            place = held.largest(room) if room else None
+            place = held[0].largest(room) if room else None
+            for window in held[1:]:
+                if place is None and room > may_stay_empty * capacity:
+                    place = window.largest(room)
         container += 1
 
 
@@ -164,7 +200,7 @@ def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def runs() -> Iterator[tuple[int, int, Iterator]]:
         """The rows of each (pack, capacity), which arrive sorted by pack."""
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        rows = (r for b in batches for r in zip(*(c.to_numpy(zero_copy_only=False).tolist() for c in b.columns)))
         row = next(rows, None)
         while row is not None:
             pack = row[0]
@@ -182,10 +218,10 @@ def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch:
         columns = list(zip(*out))
-        kinds = [pa.int32(), pa.string(), columns and None, pa.int32(), pa.int32(), pa.int32()]
+        kinds = [pa.int32(), pa.string(), None, pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * DIMENSIONS]
         arrays = [pa.array(c, k) if k else pa.array(c) for c, k in zip(columns, kinds)]
         out.clear()
-        return pa.RecordBatch.from_arrays(arrays, ["pack_id", "container_id", "doc_id", "piece_no", "first_token", "n_tokens"])
+        return pa.RecordBatch.from_arrays(arrays, ["pack_id", "container_id", "doc_id", "piece_no", "first_token", "n_tokens", *_PLACE])
 
     for pack, capacity, rows in runs():
         full = 0
@@ -194,13 +230,13 @@ def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sizes() -> Iterator[int]:
             nonlocal full
             place = 0
-            for _, _, doc, n in rows:
+            for _, _, doc, n, *at in rows:
                 pieces = n // capacity if n > capacity else 0
                 for k in range(pieces):
-                    out.append((pack, f"{pack}-{part}-f{full}", doc, k, k * capacity, capacity))
+                    out.append((pack, f"{pack}-{part}-f{full}", doc, k, k * capacity, capacity, *at))
                     full += 1
                 if n - pieces * capacity:
-                    rests[place] = (doc, pieces, pieces * capacity, n - pieces * capacity)
+                    rests[place] = (doc, pieces, pieces * capacity, n - pieces * capacity, *at)
                     place += 1
                     yield n - pieces * capacity
 
@@ -215,25 +251,54 @@ def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def packed(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(pack_id, container_id, doc_id, piece_no, first_token, n_tokens): the place of every text in every pack.
 
-    docs has doc_id and text; packs has pack_id and capacity_tokens, at most MOST_PACKS rows (more are an error). Null and empty texts have no tokens and get no row; blank ones have tokens. A text within the
-    capacity has one piece, number 0. Rows delivered twice are packed twice. Capacities that are null or below 1 are left
-    out. An empty table on either side gives no rows. vocabulary is read on the driver and sent to the tasks.
+    docs has doc_id and text; packs has pack_id and capacity_tokens. Null and empty texts have no tokens and get no row;
+    blank ones have tokens. A text within the capacity has one piece, number 0. Rows delivered twice are packed twice.
+    Capacities that are null or below 1 are left out. An empty table on either side gives no rows. vocabulary is read on
+    the driver and sent to the tasks.
     """
+    return packed_with_place(docs, packs, vocabulary, pattern).drop(*_PLACE)
+
+
+def packed_with_place(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
+    """packed, with the coordinates of the text's vector (x0, x1, ...)."""
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())
     kind = docs.schema["doc_id"].dataType.simpleString()
-    coordinates = ", ".join(f"x{k} double" for k in range(DIMENSIONS))
+    coordinates = ", ".join(f"{x} double" for x in _PLACE)
     measured = docs.select("doc_id", "text").mapInArrow(_measurer(ranks, pattern), f"doc_id {kind}, n_tokens int, {coordinates}").where("n_tokens > 0")
-    measured = staged(measured, "measured")  # a few numbers per text, read three times
-    spread = measured.agg(*(f(f"x{k}") for k in range(DIMENSIONS) for f in (F.avg, F.stddev_pop))).first()
+    measured = staged(measured, "measured")  # a few numbers per text, read again for each pass
+    spread = measured.agg(*(f(x) for x in _PLACE for f in (F.avg, F.stddev_pop))).first()
     mean, width = np.array([spread[2 * k] or 0.0 for k in range(DIMENSIONS)]), np.array([spread[2 * k + 1] or 1.0 for k in range(DIMENSIONS)])
-    keyed = measured.mapInArrow(_keyer(mean, width), f"doc_id {kind}, n_tokens int, curve bigint")
-    rows = packs.select(F.col("pack_id").cast("int"), F.col("capacity_tokens").cast("int")).where("capacity_tokens >= 1 and pack_id is not null").distinct().limit(MOST_PACKS + 1).collect()
-    if len(rows) > MOST_PACKS:
-        raise ValueError(f"more than {MOST_PACKS} packs; pack them in several calls")
-    targets = F.array(*(F.struct(F.lit(p).alias("pack_id"), F.lit(c).alias("capacity")) for p, c in sorted(rows))).cast("array<struct<pack_id: int, capacity: int>>")
-    each = keyed.select("doc_id", "n_tokens", "curve", F.explode(targets).alias("t")).select("t.pack_id", "t.capacity", "doc_id", "n_tokens", "curve")
-    placed = each.repartitionByRange("pack_id", "curve", "doc_id").sortWithinPartitions("pack_id", "capacity", "curve", "doc_id")
-    schema = f"pack_id int, container_id string, doc_id {kind}, piece_no int, first_token int, n_tokens int"
-    return placed.select("pack_id", "capacity", "doc_id", "n_tokens").mapInArrow(_packer, schema)
+    keyed = measured.mapInArrow(_keyer(mean, width), f"doc_id {kind}, n_tokens int, curve bigint, {coordinates}")
+    schema = f"pack_id int, container_id string, doc_id {kind}, piece_no int, first_token int, n_tokens int, {coordinates}"
+    rows = packs.select(F.col("pack_id").cast("int"), F.col("capacity_tokens").cast("int")).where("capacity_tokens >= 1 and pack_id is not null").distinct()
+    every, some = spark.createDataFrame([], schema), []
+
+    def close() -> None:
+        nonlocal every
+        if some:
+            targets = F.array(*(F.struct(F.lit(p).alias("pack_id"), F.lit(c).alias("capacity")) for p, c in sorted(some)))
+            each = keyed.select("*", F.explode(targets).alias("t")).select("t.pack_id", "t.capacity", "doc_id", "n_tokens", "curve", *_PLACE)
+            placed = each.repartitionByRange("pack_id", "curve", "doc_id").sortWithinPartitions("pack_id", "capacity", "curve", "doc_id")
+            every = every.unionByName(placed.select("pack_id", "capacity", "doc_id", "n_tokens", *_PLACE).mapInArrow(_packer, schema))
+            some.clear()
+
+    for row in rows.toLocalIterator():
+        some.append((row[0], row[1]))
+        if len(some) == PACKS_AT_ONCE:
+            close()
+    close()
+    return every
+
+
+def spread_within(placed: DataFrame) -> DataFrame:
+    """(pack_id, spread): spread of the texts' vectors within containers, as a share of their spread over all containers.
+
+    Containers put together without regard to the vectors, as of texts in shuffled order, have 1 on average.
+    """
+    sums = lambda by: placed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *(F.sum(x).alias(x) for x in _PLACE), *(F.sum(F.col(x) ** 2).alias(f"{x}_2") for x in _PLACE))
+    squares = sum((F.col(f"{x}_2") - F.col(x) ** 2 / F.col("n") for x in _PLACE[1:]), F.col("x0_2") - F.col("x0") ** 2 / F.col("n"))
+    within = sums(["pack_id", "container_id"]).groupBy("pack_id").agg(F.sum(squares).alias("a"), F.sum(F.col("n") - 1).alias("a_n"))
+    whole = sums(["pack_id"]).select("pack_id", squares.alias("b"), (F.col("n") - 1).alias("b_n"))
+    return within.join(whole, "pack_id").select("pack_id", F.sqrt(F.try_divide(F.col("a") * F.col("b_n"), F.col("a_n") * F.col("b"))).alias("spread"))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from lattica.llm.abuse import scored_documents
 from lattica.llm.leakage import leaked_items
-from lattica.llm.packing import packed
+from lattica.llm.packing import packed, packed_with_place, spread_within
 from lattica.llm.topn import top_per_group
 from lattica.llm.truncation import truncated
-from lattica.session import folded_id, table
+from lattica.session import folded_id, staged, table
 
 
 def valid_score(column: str) -> Column:
@@ -51,11 +51,13 @@ def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Per pack: containers, tokens and the share of the space that is used."""
-    used = p6_packed(spark, sf).groupBy("pack_id").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
+    """Per pack: containers, tokens, the share of the space that is used and the spread within containers (1: as in shuffled order)."""
+    placed = staged(packed_with_place(table(spark, sf, "documents"), table(spark, sf, "pack_target")), "packed")
+    used = placed.groupBy("pack_id").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
     packs = table(spark, sf, "pack_target").select("pack_id", "capacity_tokens").distinct()
     share = F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 4).alias("share_used")
-    return used.join(packs, "pack_id").select("pack_id", "capacity_tokens", "n_containers", "n_tokens", share)
+    spread = spread_within(placed).select("pack_id", F.round("spread", 3).alias("spread"))
+    return used.join(packs, "pack_id").join(spread, "pack_id").select("pack_id", "capacity_tokens", "n_containers", "n_tokens", share, "spread")
 
 
 def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:

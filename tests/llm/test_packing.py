@@ -17,20 +17,40 @@ def test_the_curve_visits_neighbours():
 
 def test_fill_keeps_every_size_once():
     rng = random.Random(2)
-    for capacity, window in ((50, 1), (50, 7), (100, 4096)):
+    for capacity, windows in ((50, (1,)), (50, (7, 20)), (100, (4096,)), (100, (3, 9, 4096))):
         sizes = [rng.randrange(1, capacity + 1) for _ in range(500)]
-        got = list(packing.fill(iter(sizes), capacity, window))
+        got = list(packing.fill(iter(sizes), capacity, windows, 0.0))
         assert sorted(p for p, _ in got) == list(range(500))
         used = {}
         for p, c in got:
             used[c] = used.get(c, 0) + sizes[p]
         assert max(used.values()) <= capacity
-        if window > 100:
+        if windows == (4096,):
             least = max(sum(sizes) / capacity, sum(2 * x > capacity for x in sizes))  # two large ones never share
             assert len(used) <= 1.01 * least + 1
     assert list(packing.fill(iter([]), 5)) == []
 
 
+def test_fill_keeps_to_the_curve():
+    """Texts that fit are taken from the nearest ones, and farther ones only where much would stay empty."""
+    got = list(packing.fill(iter([5] * 100), 20, (4, 50), 0.01))
+    assert [p for p, _ in got] == list(range(100)) and got[-1][1] == 24
+    assert dict(packing.fill(iter([18, 18, 18, 18, 2, 2]), 20, (2, 50), 0.2)) == {0: 0, 1: 1, 2: 2, 3: 3, 4: 3, 5: 4}
+    assert dict(packing.fill(iter([18, 18, 18, 18, 2, 2]), 20, (2, 50), 0.01)) == {0: 0, 4: 0, 1: 1, 5: 1, 2: 2, 3: 3}
+
+
+def test_texts_of_a_container_are_alike(spark):
+    rng = random.Random(8)
+    kinds = [[f"{a}{b}" for b in ("ine", "ase", "ol", "yx")] for a in ("quo", "ver", "tal", "min", "ros", "gan")]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(kinds[i % 6]) for _ in range(rng.randrange(5, 40)))) for i in range(900)], "doc_id bigint, text string")
+    packs = spark.createDataFrame([(k, 200 + k) for k in range(103)], "pack_id int, capacity_tokens int")
+    placed = packing.packed_with_place(docs, packs.where("pack_id < 2"))
+    spread = {r["pack_id"]: r["spread"] for r in packing.spread_within(placed).collect()}
+    assert len(spread) == 2 and max(spread.values()) < 0.6
+    few = docs.limit(3)
+    assert packing.packed(few, packs).select("pack_id").distinct().count() == 103  # more packs than one pass takes
+
+
 def test_operator(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choice(["protein", "binds", "the", "domain", "ü", "\n"]) for _ in range(rng.choice([1, 5, 30, 200]))) for _ in range(300)]
