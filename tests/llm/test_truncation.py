@@ -65,9 +65,14 @@ def test_limits_in_characters_and_bytes(spark):
     rows = [("c", "a" * min(80, rng.randrange(20, 200))) for _ in range(400)]
     rows += [("b", ("é" * rng.randrange(3) + "a" * rng.randrange(20, 200)).encode()[:90].decode("utf-8", "ignore")) for _ in range(400)]
     lengths = spark.createDataFrame(rows, "source string, text string").select("source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"))
-    found = tr.length_limits(lengths)
+    limits = tr.length_limits(lengths)
+    found = {tuple(r) for r in limits.collect()}
     assert ("c", "chars", 80) in found or ("c", "bytes", 80) in found
     assert ("b", "bytes", 90) in found and not any(s == "b" and u == "chars" for s, u, _ in found)
+    values = spark.createDataFrame([("c", "a" * 80), ("c", "a" * 79), ("b", "a" * 90), ("b", "a" * 88), ("b", "a" * 91), (None, "a" * 80), ("d", "a" * 80)], "source string, text string")
+    placed = {(r["source"], len(r["text"])): r["limit"] for r in tr.with_distance(values, limits).collect()}
+    want = {("c", 80): "at", ("b", 90): "at", ("b", 88): "near", ("b", 91): "far", (None, 80): "far", ("d", 80): "far"}
+    assert want.items() <= placed.items() and len(placed) == 7
 
 
 def test_tails():
@@ -78,6 +83,16 @@ def test_tails():
     assert tr.split_tail(long)[1] == "none"
 
 
+def test_a_phrase_that_belongs_to_its_mark_is_no_cut(spark):
+    rows = [(k, s, t, c) for k, s, t, c in made(seed=5) if s != "f300"]
+    phrase = [(5000 + k, "good", f"{t.rstrip('. ')}. More is to come soon...", False) for k, (_, s, t, c) in enumerate(rows) if s == "good"][:80]
+    df = spark.createDataFrame(rows + phrase, "rec_id bigint, source string, text string, score boolean")
+    found = {r["rec_id"] for r in tr.truncated(df, "rec_id", "source", "text", sample=1200).collect() if r["score"] >= 0.5}
+    assert len(phrase) == 80 and not found & {k for k, *_ in phrase}
+    dots = {k for k, s, _, c in rows if s == "dots" and c}
+    assert len(found & dots) > 0.95 * len(dots)
+
+
 def test_nothing_intact_and_empty(spark):
     df = spark.createDataFrame([(1, "s", "abc")], "rec_id bigint, source string, text string")
     assert [r["score"] for r in tr.truncated(df, "rec_id", "source", "text").collect()] == [0.5]
