@@ -1,7 +1,7 @@
 """Evaluation items in training text: a BM25 index of the items, block-max WAND over all passages, exact verification.
 
-The test items are the indexed side, in shards of at most `shard_items`; every document is a stream of passages that
-query the index. Two ways to match are looked for, each with passages long enough to hold any match whole:
+The test items are the indexed side, in shards of at most `shard_items` with one vocabulary; every document is a stream of
+passages that query all shards in one pass, split into words once. Two ways to match are looked for, each with passages long enough to hold any match whole:
 
 - a run of `run` shared words: passages of 2 * run words, one every run + 1 words;
 - `share` of the item's words in order within `stretch` times its length: for items of up to L words (a power of two),
@@ -58,9 +58,10 @@ class Way:
 
 @dataclass
 class Index:
-    """One shard of distinct items. For each way to match: the items it is for, impacts [term, item], maxima [term, block]."""
+    """One shard of distinct items, with its ways to match. vocabulary: of `size` words, may be shared."""
 
     vocabulary: dict[str, int]
+    size: int
     items: list[list[str]]
     ways: list[Way]
     grams: dict[tuple[str, ...], list[int]]
@@ -106,11 +107,11 @@ def codes(ids: np.ndarray, gram: int, size: int, ends: np.ndarray) -> np.ndarray
     return out
 
 
-def build_index(items: list[list[str]], run: int, share: float, stretch: int) -> Index:
-    """The index of distinct, not empty word lists."""
-    vocabulary: dict[str, int] = {}
+def build_index(items: list[list[str]], run: int, share: float, stretch: int, vocabulary: dict[str, int] | None = None, size: int | None = None) -> Index:
+    """The index of distinct, not empty word lists. vocabulary (of `size` words) may be one that several shards share."""
+    vocabulary = {} if vocabulary is None else vocabulary
     ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in x], np.int64) for x in items]
-    n, size = len(items), len(vocabulary)
+    n, size = len(items), size or len(vocabulary)
 
     def way(by_run: bool, chosen: list[int], gram: int, length: int, step: int, least: Callable[[list[int], dict[int, float]], float]) -> Way:
         terms = [codes(x, gram, size, np.array([len(x)])) for x in ids]
@@ -152,7 +153,7 @@ def build_index(items: list[list[str]], run: int, share: float, stretch: int) ->
         for i, w in enumerate(x):
             mask[w] |= 1 << i
         masks.append(dict(mask))
-    return Index(vocabulary, items, ways, dict(grams), masks)
+    return Index(vocabulary, size, items, ways, dict(grams), masks)
 
 
 def common_in_order(mask: dict[str, int], length: int, text: list[str]) -> int:
@@ -190,17 +191,18 @@ def passages(n: int, length: int, step: int) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(starts + length, n)
 
 
-def candidates(index: Index, way: Way, ids: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(document, item, start, end): all passages of the documents ids[bounds[d]:bounds[d + 1]] and items that may match."""
-    code = codes(ids, way.gram, len(index.vocabulary), bounds[1:])
+#: Positions of known terms whose block maxima are summed at once; a passage with more is summed on its own.
+POSITIONS_AT_ONCE = 1 << 16
+
+
+def candidates(way: Way, code: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(document, item, start, end): all passages of the documents [bounds[d]:bounds[d + 1]] and items that may match. code: of the way's terms, by position."""
     row = np.searchsorted(way.keys, code)
     row[row == len(way.keys)] = 0
     at = np.flatnonzero(way.keys[row] == code)  # positions with a term of the index; all others weigh nothing
     if not len(at):
-        return []
+        return
     row = row[at]
-    sums = np.zeros((len(at) + 1, way.maxima.shape[1]))
-    np.cumsum(way.maxima[row], axis=0, out=sums[1:])
     touched = np.unique(np.searchsorted(bounds, at, side="right") - 1)
     spans = [(d, *passages(bounds[d + 1] - bounds[d], way.length, way.step)) for d in touched]
     doc = np.concatenate([np.full(len(s), d) for d, s, _ in spans])
@@ -208,38 +210,47 @@ def candidates(index: Index, way: Way, ids: np.ndarray, bounds: np.ndarray) -> l
     end = np.concatenate([e + bounds[d] for d, _, e in spans])
     first, last = np.searchsorted(at, start), np.searchsorted(at, end - way.gram + 1)
     last = np.maximum(first, last)
-    may = sums[last] - sums[first] >= 1 - SLACK
-    found = []
-    for p in np.flatnonzero(may.any(axis=1)):
-        terms = np.unique(row[first[p] : last[p]])
-        for b in np.flatnonzero(may[p]):
-            # the bound counted repeated terms; with distinct ones the block may fall out before any item is scored
-            if way.maxima[terms, b].sum() < 1 - SLACK:
-                continue
-            scores = way.impacts[terms, b * BLOCK : (b + 1) * BLOCK].sum(axis=0)
-            for c in np.flatnonzero(scores >= 1 - SLACK):
-                found.append((int(doc[p]), int(way.chosen[b * BLOCK + c]), int(start[p]), int(end[p])))
-    return found
-
-
-def matches(index: Index, texts: list[list[str]], run: int, share: float, stretch: int) -> list[tuple[int, int]]:
-    """(document, item) for each verified match, each pair once."""
-    unknown, get = len(index.vocabulary), index.vocabulary.get
+    begun = 0
+    while begun < len(doc):
+        until = max(begun + 1, int(np.searchsorted(last, first[begun] + POSITIONS_AT_ONCE, side="right")))
+        low, high = first[begun], last[begun:until].max()
+        sums = np.zeros((high - low + 1, way.maxima.shape[1]))
+        np.cumsum(way.maxima[row[low:high]], axis=0, out=sums[1:])
+        may = sums[last[begun:until] - low] - sums[first[begun:until] - low] >= 1 - SLACK
+        for p in begun + np.flatnonzero(may.any(axis=1)):
+            terms = np.unique(row[first[p] : last[p]])
+            for b in np.flatnonzero(may[p - begun]):
+                # the bound counted repeated terms; with distinct ones the block may fall out before any item is scored
+                if way.maxima[terms, b].sum() < 1 - SLACK:
+                    continue
+                scores = way.impacts[terms, b * BLOCK : (b + 1) * BLOCK].sum(axis=0)
+                for c in np.flatnonzero(scores >= 1 - SLACK):
+                    yield int(doc[p]), int(way.chosen[b * BLOCK + c]), int(start[p]), int(end[p])
+        begun = until
+
+
+def matches(shards: list[Index], texts: list[list[str]], run: int, share: float, stretch: int) -> list[tuple[int, int, int]]:
+    """(document, shard, item) for each verified match, each once. The shards have one vocabulary, so words are looked up once."""
+    if not shards:
+        return []
+    get, size = shards[0].vocabulary.get, shards[0].size
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
-    ids = np.fromiter((get(w, unknown) for x in texts for w in x), np.int64, int(bounds[-1]))
-    found: set[tuple[int, int]] = set()
-    for way in index.ways:
-        for d, item, s, e in candidates(index, way, ids, bounds):
-            if (d, item) in found:
-                continue
-            text = texts[d][s - bounds[d] : e - bounds[d]]
-            if way.runs:
-                hit = any(item in index.grams.get(tuple(text[i : i + run]), ()) for i in range(len(text) - run + 1))
-            else:
-                n = len(index.items[item])
-                hit = stands_in_order(index.masks[item], n, text, math.ceil(share * n), stretch * n)
-            if hit:
-                found.add((d, item))
+    ids = np.fromiter((get(w, size) for x in texts for w in x), np.int64, int(bounds[-1]))
+    by_gram = {gram: codes(ids, gram, size, bounds[1:]) for gram in {way.gram for index in shards for way in index.ways}}
+    found: set[tuple[int, int, int]] = set()
+    for k, index in enumerate(shards):
+        for way in index.ways:
+            for d, item, s, e in candidates(way, by_gram[way.gram], bounds):
+                if (d, k, item) in found:
+                    continue
+                text = texts[d][s - bounds[d] : e - bounds[d]]
+                if way.runs:
+                    hit = any(item in index.grams.get(tuple(text[i : i + run]), ()) for i in range(len(text) - run + 1))
+                else:
+                    n = len(index.items[item])
+                    hit = stands_in_order(index.masks[item], n, text, math.ceil(share * n), stretch * n)
+                if hit:
+                    found.add((d, k, item))
     return sorted(found)
 
 
@@ -260,56 +271,81 @@ def covered(part: list[str], text: list[str], n: int = 3) -> float:
     return sum(tuple(part[i : i + n]) in held for i in range(len(part) - n + 1)) / (len(part) - n + 1)
 
 
-def _searcher(index, run: int, share: float, stretch: int, members: dict[int, list[int]], parts: dict[int, tuple[list[str], list[str]]], at_once: int = 256) -> Callable:
+#: Words of documents that are looked at together; a longer document is looked at on its own.
+WORDS_AT_ONCE = 100_000
+
+
+def slices(sizes: list[int], most: int = WORDS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Spans of neighbouring documents with at most so many words together."""
+    begun, held = 0, 0
+    for i, n in enumerate(sizes):
+        if held and held + n > most:
+            yield begun, i
+            begun, held = i, 0
+        held += n
+    if begun < len(sizes):
+        yield begun, len(sizes)
+
+
+def _searcher(shared, run: int, share: float, stretch: int) -> Callable:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = index.value
+        shards, members, parts = shared.value
         for batch in batches:
-            for s in range(0, batch.num_rows, at_once):  # bounds the prefix sums
-                part = batch.slice(s, at_once)
-                doc_ids, texts = part.column(0), [words(x) for x in part.column(1).to_pylist()]
-                rows = [(d, i, k) for d, k in matches(shard, texts, run, share, stretch) for i in members[k]]
-                if rows:
-                    question, answer = zip(*((covered(parts[i][0], texts[d]), covered(parts[i][1], texts[d])) for d, i, _ in rows))
-                    columns = [doc_ids.take(pa.array([d for d, _, _ in rows])), pa.array([i for _, i, _ in rows], pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(question, pa.float64()), pa.array(answer, pa.float64())], ["doc_id", "item_id", "question_share", "answer_share"])
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                every = [words(x) for x in part.column(1).to_pylist()]
+                for s, e in slices([len(x) for x in every]):
+                    texts = every[s:e]
+                    rows = [(d, i) for d, k, item in matches(shards, texts, run, share, stretch) for i in members[k][item]]
+                    if rows:
+                        question, answer = zip(*((covered(parts[i][0], texts[d]), covered(parts[i][1], texts[d])) for d, i in rows))
+                        columns = [part.column(0).take(pa.array([s + d for d, _ in rows])), pa.array([i for _, i in rows], pa.int64())]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(question, pa.float64()), pa.array(answer, pa.float64())], ["doc_id", "item_id", "question_share", "answer_share"])
 
     return search
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, run: int = 10, share: float = 0.75, stretch: int = 2, shard_items: int = 512) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, run: int = 10, share: float = 0.75, stretch: int = 2, shard_items: int = 128, words_at_once: int = 200_000) -> DataFrame:
     """(doc_id, item_id, question_share, answer_share) for every document that holds an item, whole or in part.
 
     docs has doc_id and text, items has item_id and text; further columns are not looked at. A pair is found if both share
     `run` consecutive words, or if `share` of the item's words stand in its order within `stretch` times its length.
     The two shares tell how much of the item's question and answer the document holds. Null, empty and wordless texts
-    match nothing; items with equal words are found alike; repeated rows are found once. Test items beyond shard_items
-    are searched in further shards, each a pass over the documents, so what is broadcast is bounded. An empty table on
-    either side gives no rows.
+    match nothing; items with equal words are found alike; repeated rows are found once. Items are indexed in shards of
+    shard_items that one pass over the documents searches together; beyond words_at_once words of items there is a further
+    pass, so what is broadcast is bounded (an impact takes 4 bytes, so some 4 * shard_items * words_at_once). An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id bigint, question_share double, answer_share double"
     narrow = docs.select("doc_id", "text").where("text is not null")
-    found, shard = [], []
+    found, some = [], []
 
     def close() -> None:
-        if not shard:
-            return
         same: dict[tuple[str, ...], list[int]] = defaultdict(list)
-        for i, text in shard:
+        for i, text in some:
             if w := words(text):
                 same[tuple(w)].append(i)
         if same:
-            index = spark.sparkContext.broadcast(build_index([list(w) for w in same], run, share, stretch))
-            parts = {i: tuple(words(p) for p in parts_of_item(text)) for i, text in shard}
-            search = _searcher(index, run, share, stretch, dict(enumerate(same.values())), parts)
-            found.append(narrow.mapInArrow(search, schema))
-        shard.clear()
-
+            vocabulary: dict[str, int] = {}
+            for w in same:
+                for x in w:
+                    vocabulary.setdefault(x, len(vocabulary))
+            distinct = list(same)
+            cut = range(0, len(distinct), shard_items)
+            shards = [build_index([list(w) for w in distinct[s : s + shard_items]], run, share, stretch, vocabulary, len(vocabulary)) for s in cut]
+            members = [[same[w] for w in distinct[s : s + shard_items]] for s in cut]
+            parts = {i: tuple(words(p) for p in parts_of_item(text)) for i, text in some}
+            found.append(narrow.mapInArrow(_searcher(spark.sparkContext.broadcast((shards, members, parts)), run, share, stretch), schema))
+        some.clear()
+
+    held = 0
     for row in items.select(F.col("item_id").cast("bigint"), "text").where("item_id is not null and text is not null").distinct().toLocalIterator():
-        shard.append((row[0], row[1]))
-        if len(shard) == shard_items:
+        some.append((row[0], row[1]))
+        held += len(words(row[1]))
+        if held >= words_at_once:
             close()
+            held = 0
     close()
     if not found:
         return spark.createDataFrame([], schema)

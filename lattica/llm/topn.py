@@ -9,6 +9,7 @@ most N rows per group and file go on to the final ranking.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,11 +23,19 @@ from lattica.session import staging_path
 #: Bytes in which the writer closes a row group; small ones can be skipped more often.
 ROW_GROUP_BYTES = 256 * 1024
 
+#: Rows of a file at most (about 256 MB), and at least where that would leave cores idle.
+ROWS_PER_FILE, LEAST_ROWS_PER_FILE = 4_000_000, 100_000
 
-def cluster(rows: DataFrame) -> str:
-    """Write (g, i, s) clustered by group into the shared folder; the path."""
+
+def number_of_files(rows: int, cores: int) -> int:
+    """Files for so many rows: one task reads a file, so all cores get one unless files would be tiny."""
+    return max(1, math.ceil(rows / ROWS_PER_FILE), min(cores, rows // LEAST_ROWS_PER_FILE))
+
+
+def cluster(rows: DataFrame, files: int) -> str:
+    """Write (g, i, s) clustered by group into so many files in the shared folder; the path."""
     path = staging_path(rows.sparkSession, "topn")
-    placed = rows.repartitionByRange("g", F.xxhash64("i")).sortWithinPartitions("g", F.col("s").desc(), "i")
+    placed = rows.repartitionByRange(files, "g", F.xxhash64("i")).sortWithinPartitions("g", F.col("s").desc(), "i")
     placed.write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.row.count.limit", 5000).parquet(path)
     return path
 
@@ -60,11 +69,12 @@ def read_guided(path: str, n: int) -> tuple[pa.Table, dict[str, int]]:
 
         tops = [x.max if (x := stats(k, "s")) else np.inf for k in range(meta.num_row_groups)]
         for k in sorted(range(meta.num_row_groups), key=lambda k: -tops[k]):
-            held = stats(k, "g")
+            held, of_rows = stats(k, "g"), None
             if held and held.min == held.max:
                 groups = [held.min]
-            else:  # several groups: the dictionary of this narrow column tells which
-                groups = file.read_row_group(k, ["g"]).column(0).unique().to_pylist()
+            else:  # several groups: this narrow column tells which
+                of_rows = file.read_row_group(k, ["g"]).column(0).combine_chunks()
+                groups = of_rows.unique().to_pylist()
             for g in groups:
                 if g not in ids:
                     ids[g] = len(names)
@@ -76,8 +86,8 @@ def read_guided(path: str, n: int) -> tuple[pa.Table, dict[str, int]]:
                 done["skipped"] += 1
                 continue
             done["read"] += 1
-            t = file.read_row_group(k, ["g", "i", "s"]).combine_chunks()
-            codes = t.column("g").combine_chunks().dictionary_encode()
+            t = file.read_row_group(k, ["g", "i", "s"] if of_rows is None else ["i", "s"]).combine_chunks()
+            codes = (t.column("g").combine_chunks() if of_rows is None else of_rows).dictionary_encode()
             by_code = np.fromiter((ids[g] for g in codes.dictionary.to_pylist()), np.int64, len(codes.dictionary))
             gid, score = by_code[codes.indices.to_numpy()], t.column("s").to_numpy()
             may = np.flatnonzero(score >= threshold[gid])
@@ -114,10 +124,11 @@ def top_per_group(df: DataFrame, group: Column, item: Column, score: Column, n:
     rows = df.select(group.cast("string").alias("g"), item.cast("string").alias("i"), score.cast("double").alias("s"))
     rows = rows.where(F.col("g").isNotNull() & F.col("i").isNotNull() & F.col("s").isNotNull() & ~F.isnan("s"))
     spark = df.sparkSession
-    path = cluster(rows.withColumn("s", F.col("s") + F.lit(0.0)))  # -0.0 and 0.0 are one score
-    files = spark.read.schema("g string, i string, s double").parquet(path).inputFiles()  # a name per partition
-    listed = spark.createDataFrame([(p, k) for k, p in enumerate(files)], "path string, k int")
-    local = listed.repartitionById(max(1, len(files)), F.col("k")).select("path").mapInArrow(_reader(n), "g string, i string, s double")
+    files = number_of_files(df.count(), spark.sparkContext.defaultParallelism)  # of a table, a count of its footers
+    path = cluster(rows.withColumn("s", F.col("s") + F.lit(0.0)), files)  # -0.0 and 0.0 are one score
+    written = spark.read.schema("g string, i string, s double").parquet(path).inputFiles()  # a name per partition
+    listed = spark.createDataFrame([(p, k) for k, p in enumerate(written)], "path string, k int")
+    local = listed.repartitionById(max(1, len(written)), F.col("k")).select("path").mapInArrow(_reader(n), "g string, i string, s double")
     order = Window.partitionBy("g").orderBy(F.col("s").desc(), F.col("i"))
     ranked = local.withColumn("rank_no", F.row_number().over(order)).where(F.col("rank_no") <= n)
     return ranked.select(F.col("g").alias("group_id"), F.col("i").alias("item_id"), F.col("s").alias("score"), "rank_no")

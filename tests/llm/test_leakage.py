@@ -52,12 +52,15 @@ def corpus(rng):
     return items, [*docs, []]
 
 
-def test_finds_exactly_the_cases():
+def test_finds_exactly_the_cases(monkeypatch):
     for seed in range(3):
         items, docs = corpus(random.Random(seed))
         distinct = [list(x) for x in dict.fromkeys(map(tuple, items))]
-        index = leakage.build_index(distinct, RUN, SHARE, STRETCH)
-        got = set(leakage.matches(index, docs, RUN, SHARE, STRETCH))
+        vocabulary = {w: n for n, w in enumerate(sorted({w for x in distinct for w in x}))}
+        shards = [leakage.build_index(distinct[s : s + 11], RUN, SHARE, STRETCH, vocabulary, len(vocabulary)) for s in range(0, len(distinct), 11)]
+        got = {(d, 11 * k + i) for d, k, i in leakage.matches(shards, docs, RUN, SHARE, STRETCH)}
+        monkeypatch.setattr(leakage, "POSITIONS_AT_ONCE", 50)
+        assert got == {(d, 11 * k + i) for d, k, i in leakage.matches(shards, docs, RUN, SHARE, STRETCH)}
         want = {(d, k) for d, text in enumerate(docs) for k, item in enumerate(distinct) if text and is_case(item, text)}
         assert got == want and want
 
@@ -92,13 +95,17 @@ def test_operator(spark):
     docs = [(1, f"Intro words. {item.upper()} And more.", "x"), (2, "nothing here", "x"), (3, None, "x"), (4, "", None), (1, f"Intro words. {item.upper()} And more.", "x")]
     d = spark.createDataFrame(docs, "doc_id bigint, text string, item_id string")
     i = spark.createDataFrame([(7, item, "q"), (8, item.replace(" ", "  "), "q"), (9, None, "q"), (10, "", "q"), (None, item, "q"), (7, item, "q")], "item_id bigint, text string, doc_id string")
-    for shard in (1, 512):
-        got = leakage.leaked_items(d, i, shard_items=shard).collect()
+    for shard, at_once in ((1, 1), (1, 40), (128, 200_000)):
+        got = leakage.leaked_items(d, i, shard_items=shard, words_at_once=at_once).collect()
         assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 7), (1, 8)]
         assert all(r["question_share"] == 1 and r["answer_share"] == 1 for r in got)
     assert leakage.leaked_items(d.limit(0), i).collect() == [] and leakage.leaked_items(d, i.limit(0)).collect() == []
 
 
+def test_slices_are_bounded_by_words():
+    assert list(leakage.slices([3, 4, 9, 1, 0, 2], 7)) == [(0, 2), (2, 3), (3, 6)] and list(leakage.slices([])) == []
+
+
 def test_wordless_texts_cost_no_shingle():
     import numpy as np
 

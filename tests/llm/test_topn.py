@@ -32,7 +32,8 @@ def test_equals_brute_force_with_ties_nulls_and_copies(spark):
 def test_row_groups_are_skipped(spark, monkeypatch):
     monkeypatch.setattr(topn, "ROW_GROUP_BYTES", 4096)
     rows = [("one", f"item {k:06d} {'x' * 20}", float(k)) for k in range(20000)]
-    path = topn.cluster(spark.createDataFrame(rows, "g string, i string, s double").coalesce(1))
+    path = topn.cluster(spark.createDataFrame(rows, "g string, i string, s double").coalesce(1), 3)
+    assert len(spark.read.parquet(path).inputFiles()) == 3
     done = {"read": 0, "skipped": 0}
     for f in spark.read.parquet(path).inputFiles():
         _, x = topn.read_guided(f, 5)
@@ -41,6 +42,10 @@ def test_row_groups_are_skipped(spark, monkeypatch):
     assert run(spark.createDataFrame(rows, "g string, i string, s double"), 2) == brute(rows, 2)
 
 
+def test_files_follow_the_rows():
+    assert [topn.number_of_files(n, 12) for n in (0, 99, 250_000, 3_000_000, 10**11)] == [1, 1, 2, 12, 25_000]
+
+
 def test_empty_table(spark):
     assert run(spark.createDataFrame([], "g string, i string, s double"), 3) == []
 
