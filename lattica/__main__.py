@@ -65,7 +65,7 @@ def structure_files(spark: SparkSession, context, source: Path, out: Path, subdi
             files.append((pdb, f"pdb_{safe(pdb)}.pdb", f.read_text()))
             write(files[-1][1], files[-1][2], source="pdb", pdb_id=pdb)
             if (m := source / f"{safe(accession)}_{safe(pdb)}.json").exists():
-                row = spark.createDataFrame([(m.read_text(),)], "p string").select(interval.segments(F.col("p"))).first()[0]
+                row = spark.createDataFrame([(m.read_text(),)], "p string").select(F.coalesce(F.nullif(interval.segments(F.col("p"), F.lit(pdb), F.lit(accession)), F.array().cast(interval.BOUNDS)), interval.segments(F.col("p")))).first()[0]
                 segs += [(accession, pdb, *s) for s in row or []]
     for i, url in enumerate([x for x in p["alphafold_pdb_urls"] or [] if x][: max(1, cap)] or [x for x in [p["alphafold_pdb_url"]] if x], 1):
         if (f := source / safe(url.rsplit("/", 1)[-1])).exists():

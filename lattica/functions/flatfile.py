@@ -72,14 +72,15 @@ def gene_entry(raw: Column) -> Column:
         F.get(part("NAME"), F.lit(0)).alias("name"),
         F.array_join(part("DEFINITION"), " ").alias("definition"),
         F.get(tokens(F.get(part("ORTHOLOGY"), F.lit(0))), F.lit(0)).alias("ko"),
+        F.array_join(F.slice(tokens(F.get(part("ORTHOLOGY"), F.lit(0))), 2, F.greatest(F.size(tokens(F.get(part("ORTHOLOGY"), F.lit(0)))) - 1, F.lit(0))), " ").alias("ko_definition"),
         F.get(F.split(organism, r"\s+", 2), F.lit(0)).alias("organism_code"),
         F.get(F.split(organism, r"\s+", 2), F.lit(1)).alias("organism_name"),
         two(part("PATHWAY")).alias("pathways"),
         two(part("MODULE")).alias("modules"),
         F.array_distinct(F.concat(ec_numbers(part("ORTHOLOGY")), ec_numbers(part("DEFINITION")))).alias("ec_numbers"),
-        F.transform(F.filter(part("DISEASE"), lambda x: F.contains(x, F.lit(" "))), lambda x: F.split(x, r"\s+", 2)[1]).alias("diseases"),
+        F.transform(part("DISEASE"), lambda x: F.coalesce(F.get(F.split(x, r"\s+", 2), F.lit(1)), x)).alias("diseases"),
         links.alias("db_links"),
-        F.flatten(F.transform(F.filter(part("STRUCTURE"), lambda x: F.startswith(x, F.lit("PDB:"))), lambda x: tokens(F.substring(x, 5, 100000)))).alias("pdb_ids"),
+        F.flatten(F.transform(F.filter(part("STRUCTURE"), lambda x: F.startswith(x, F.lit("PDB:"))), lambda x: tokens(F.regexp_replace(x, "PDB:", "")))).alias("pdb_ids"),
         F.get(F.coalesce(F.try_element_at(links, F.lit("UniProt")), F.try_element_at(links, F.lit("Uniprot"))), F.lit(0)).alias("uniprot"),
     )
 

@@ -30,9 +30,9 @@ def month_text(number: Column) -> Column:
 
 
 def references(df: DataFrame, ref: Column, at: Column) -> DataFrame:
-    """Pre-aggregated references: (REF, MONTH, ROWS). Null references and rows without a time are left out."""
+    """Pre-aggregated references: (REF, MONTH, ROWS), written once, as every use reads them again. Null references and rows without a time are left out."""
     rows = df.select(ref.cast("string").alias(REF), month_number(at).alias(MONTH))
-    return rows.where(F.col(REF).isNotNull() & F.col(MONTH).isNotNull()).groupBy(REF, MONTH).agg(F.count(F.lit(1)).alias(ROWS))
+    return staged(rows.where(F.col(REF).isNotNull() & F.col(MONTH).isNotNull()).groupBy(REF, MONTH).agg(F.count(F.lit(1)).alias(ROWS)), "refs")
 
 
 def presence(df: DataFrame, key: Column, loaded: Column, deleted: Column) -> DataFrame:
@@ -59,7 +59,6 @@ def orphans(refs: DataFrame, target: DataFrame, share: float = 0.01) -> DataFram
     refs comes from `references`, target from `presence`. Empty refs give no rows; an empty target makes every reference
     an orphan.
     """
-    refs = staged(refs, "refs")  # used twice below, and far smaller than the rows it came from
     heavy = heavy_refs(refs, share)
     if not heavy:
         return _absent(refs, target)

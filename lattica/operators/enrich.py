@@ -5,27 +5,47 @@ The columns are those of the public service; the statistic is this library's cho
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SMALL = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 64)))])
+
+
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    """Logarithm of n!, by a table for small n and by Stirling's series beyond."""
+    x = np.maximum(n, 1).astype(np.float64)
+    series = x * np.log(x) - x + 0.5 * np.log(2 * np.pi * x) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return np.where(n < len(_SMALL), _SMALL[np.minimum(n, len(_SMALL) - 1)], series)
+
+
+def tails(k: np.ndarray, n: np.ndarray, big_k: np.ndarray, big_n: np.ndarray, at_once: int = 1 << 20) -> np.ndarray:
+    """P(X >= k) for n draws from big_n of which big_k count, for many tests: sums of the probabilities from k on, `at_once` of them together."""
+    choose = lambda a, b: log_factorial(a) - log_factorial(b) - log_factorial(a - b)
+    low, top = np.maximum(k, n - (big_n - big_k)), np.minimum(n, big_k)
+    sizes = np.maximum(top - low + 1, 0)
+    out = np.zeros(len(k))
+    ends = np.cumsum(sizes)
+    whole = choose(big_n, n)
+    for s in range(0, int(ends[-1]) if len(ends) else 0, at_once):
+        flat = np.arange(s, min(s + at_once, int(ends[-1])))
+        row = np.searchsorted(ends, flat, side="right")
+        i = low[row] + flat - (ends[row] - sizes[row])
+        logs = choose(big_k[row], i) + choose((big_n - big_k)[row], n[row] - i) - whole[row]
+        out += np.bincount(row, weights=np.exp(logs), minlength=len(k))
+    return np.where(k <= 0, 1.0, np.minimum(1.0, out))
+
+
 def tail(k: int, n: int, big_k: int, big_n: int) -> float:
-    """P(X >= k) for n draws from big_n of which big_k count, by sums of logarithms of binomials."""
-    if k <= 0:
-        return 1.0
-    ln = lambda a, b: math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
-    top = min(n, big_k)
-    logs = [ln(big_k, i) + ln(big_n - big_k, n - i) - ln(big_n, n) for i in range(max(k, n - (big_n - big_k)), top + 1)]
-    return min(1.0, math.fsum(math.exp(x) for x in logs)) if logs else 0.0
+    return float(tails(*(np.array([x], np.int64) for x in (k, n, big_k, big_n)))[0])
 
 
 @F.pandas_udf(T.DoubleType())
 def tail_column(k: pd.Series, n: pd.Series, big_k: pd.Series, big_n: pd.Series) -> pd.Series:
-    return pd.Series([tail(*map(int, x)) for x in zip(k, n, big_k, big_n)], dtype="float64")
+    return pd.Series(tails(*(x.to_numpy(np.int64) for x in (k, n, big_k, big_n))))
 
 
 def with_fdr(df: DataFrame, p: str = "p_value", by: list[str] | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from lattica.schemas import EDGES, NODES, edge_schema, node_schema
 
 
 class PropertyGraph:
-    """Nodes by label and edges by type. With a path, every write makes a new version and then moves the manifest on.
+    """Nodes by label and edges by type. With a path, every write makes a new version and then a new manifest, by number.
 
     A version is never overwritten while it may be read; a reader sees the manifest it opened. Without a path the graph
     lives in its DataFrames.
@@ -34,30 +34,43 @@ class PropertyGraph:
 
     def _fs(self):
         jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest.json")
-        return jvm, at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _manifest(self) -> dict[str, str]:
-        _, at, fs = self._fs()
-        if not fs.exists(at):
-            return {}
-        return json.loads(self.spark.read.text(at.toString(), wholetext=True).first()[0])
-
-    def _write_manifest(self, content: dict[str, str]) -> None:
-        jvm, at, fs = self._fs()
-        fresh = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest-{uuid.uuid4().hex}")
-        out = fs.create(fresh)
-        out.write(bytearray(json.dumps(content).encode()))
-        out.close()
-        fs.delete(at, False)
-        fs.rename(fresh, at)
+        at = jvm.org.apache.hadoop.fs.Path(self.path)
+        return jvm, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _manifests(self) -> list[int]:
+        """Numbers of the manifests that are there; the highest one holds."""
+        jvm, fs = self._fs()
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest-*.json")) or []
+        return sorted(int(f.getPath().getName()[len("manifest-") : -len(".json")]) for f in found)
+
+    def _manifest(self, number: int | None = None) -> dict[str, str]:
+        number = max(self._manifests(), default=0) if number is None else number
+        return json.loads(self.spark.read.text(f"{self.path}/manifest-{number:012d}.json", wholetext=True).first()[0]) if number else {}
+
+    def _publish(self, changed: dict[str, str] | None) -> None:
+        """The next manifest: the last one with what changed (None: nothing is left).
+
+        It is written whole and then takes the next free number by a rename, which fails where another writer was first;
+        then that writer's manifest is what this one is added to. No manifest is ever without content, and none is lost.
+        """
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        while True:
+            last = max(self._manifests(), default=0)
+            fresh, target = path(f"{self.path}/fresh-{uuid.uuid4().hex}"), path(f"{self.path}/manifest-{last + 1:012d}.json")
+            out = fs.create(fresh)
+            out.write(bytearray(json.dumps({} if changed is None else self._manifest(last) | changed).encode()))
+            out.close()
+            if not fs.exists(target) and fs.rename(fresh, target):
+                return
+            fs.delete(fresh, False)
 
     def put(self, name: str, df: DataFrame) -> PropertyGraph:
         """Make df the content of a label or type."""
         if self.path:
             version = uuid.uuid4().hex
             df.write.parquet(f"{self.path}/{name}/{version}")
-            self._write_manifest(self._manifest() | {name: version})
+            self._publish({name: version})
             df = self.spark.read.schema(self._schema(name)).parquet(f"{self.path}/{name}/{version}")
         self.tables[name] = df
         return self
@@ -91,7 +104,7 @@ class PropertyGraph:
     def clear(self) -> PropertyGraph:
         self.tables = {}
         if self.path:
-            self._write_manifest({})
+            self._publish(None)
         return self
 
     def setup(self) -> PropertyGraph:

@@ -11,13 +11,12 @@ def first_seen(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min("seq").alias("seq")).groupBy("seq").agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("label"), "seq", "n")
 
 
-def cumulative(new: DataFrame, steps: DataFrame) -> DataFrame:
-    """(label, seq, total) for every label at every step (column seq): the running sum of what is new.
+def cumulative(new: DataFrame, steps: DataFrame, labels: list[str]) -> DataFrame:
+    """(label, seq, total) for each of the labels at every step (column seq): the running sum of what is new.
 
-    Labels are those of a graph's schema, a dozen; the steps are one series per run, and rows of a label pass through one
+    Labels are some of a graph's schema, a dozen; the steps are one series per run, and rows of a label pass through one
     window of that length.
     """
-    labels = [r[0] for r in new.select("label").distinct().collect()]
     grid = steps.select("seq").distinct().select(F.explode(F.array(*map(F.lit, labels)).cast("array<string>")).alias("label"), "seq")
     dense = grid.join(new, ["label", "seq"], "left")
     w = Window.partitionBy("label").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)

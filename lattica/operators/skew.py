@@ -6,7 +6,8 @@ all other keys stay whole inside their bucket. Buckets and shards are bin-packed
 least loaded task). Rows of the fragmented side travel to the task of their bucket or shard; the matching side is
 replicated to the shards of split keys only.
 
-The driver sees `buckets` numbers and at most `tasks * split_below` keys, whatever the number of rows or keys.
+There are at least BUCKETS_PER_TASK hash buckets per task, so that the whole keys of any number of rows spread over all
+tasks. The driver sees a number per bucket and at most `tasks * split_below` keys, whatever the number of rows or keys.
 """
 
 from __future__ import annotations
@@ -16,13 +17,17 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lattica.session import INTERNAL
 
-KEY, TASK, SHARDS, SALT = (f"{INTERNAL}{x}" for x in ("key", "task", "shards", "salt"))
+KEY, TASK, SHARDS, SALT, BUCKET = (f"{INTERNAL}{x}" for x in ("key", "task", "shards", "salt", "bucket"))
+
+#: Hash buckets of whole keys: at least so many, and so many per task.
+LEAST_BUCKETS, BUCKETS_PER_TASK = 1024, 16
 
 
 @dataclass
@@ -49,17 +54,19 @@ def _bucket(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def estimate_load(df: DataFrame, key: Column, tasks: int | None = None, buckets: int = 1024, split_below: int = 4) -> LoadPlan:
+def estimate_load(df: DataFrame, key: Column, tasks: int | None = None, buckets: int | None = None, split_below: int = 4) -> LoadPlan:
     """Plan the tasks for df keyed by `key` (cast to string; null is a key of its own).
 
     A key is split when it has more than 1/split_below of a task's fair share of rows. An empty df gives an empty plan.
+    The number of tasks and buckets follows the number of rows (of a table, a count of its footers).
     """
+    tasks = tasks or default_tasks(df.sparkSession, df.count())
+    buckets = buckets or max(LEAST_BUCKETS, BUCKETS_PER_TASK * tasks)
     keyed = df.select(key.cast("string").alias(KEY))
     weights = [0] * buckets
     for bucket, n in keyed.groupBy(_bucket(F.col(KEY), buckets).alias("b")).agg(F.count(F.lit(1))).collect():
         weights[bucket] = n
     total = sum(weights)
-    tasks = tasks or default_tasks(df.sparkSession, total)
     fair = max(1.0, total / tasks)
     limit = max(2.0, fair / split_below)
     suspects = [b for b, n in enumerate(weights) if n > limit]
@@ -68,7 +75,8 @@ def estimate_load(df: DataFrame, key: Column, tasks: int | None = None, buckets:
         inside = keyed.where(_bucket(F.col(KEY), buckets).isin(suspects)) if len(suspects) < buckets // 2 else keyed
         found = inside.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
         key_rows = {k: n for k, n in found.collect()}  # fewer than total / limit = tasks * split_below keys
-    return pack(weights, key_rows, tasks, fair, lambda k: _hash_bucket(df.sparkSession, list(key_rows), buckets)[k], total)
+    bucket_of = _hash_bucket(df.sparkSession, list(key_rows), buckets) if key_rows else {}
+    return pack(weights, key_rows, tasks, fair, bucket_of.__getitem__, total)
 
 
 def _hash_bucket(spark: SparkSession, keys: list[str | None], buckets: int) -> dict[str | None, int]:
@@ -115,6 +123,12 @@ def _heavy_table(spark: SparkSession, plan: LoadPlan) -> DataFrame:
     return spark.createDataFrame(list(plan.heavy.items()), schema)
 
 
+def _bucket_table(spark: SparkSession, plan: LoadPlan) -> DataFrame:
+    """Task of each bucket: BUCKETS_PER_TASK rows of two numbers per task, so it may be broadcast."""
+    tasks = pa.table({BUCKET: pa.array(range(len(plan.bucket_task)), pa.int32()), f"{TASK}_b": pa.array(plan.bucket_task, pa.int32())})
+    return F.broadcast(spark.createDataFrame(tasks))
+
+
 def _salt(df: DataFrame, by: Sequence[Column] | None) -> Column:
     """What chooses the shard of a row: the columns given, else all columns and the place of reading.
 
@@ -137,30 +151,27 @@ def _unhashable(kind: T.DataType) -> bool:
 def fragment(df: DataFrame, key: Column, plan: LoadPlan, salt_by: Sequence[Column] | None = None) -> DataFrame:
     """df with its rows on the planned tasks; adds the columns KEY (string) and TASK."""
     spark = df.sparkSession
-    lookup = F.expr(f"cast(split('{','.join(map(str, plan.bucket_task))}', ',') as array<int>)")
-    salted = df.withColumns({KEY: key.cast("string"), SALT: _salt(df, salt_by)})
-    light = F.get(lookup, _bucket(F.col(KEY), len(plan.bucket_task)))
+    salted = df.withColumns({KEY: key.cast("string"), SALT: _salt(df, salt_by)}).withColumn(BUCKET, _bucket(F.col(KEY), len(plan.bucket_task)))
+    light = salted.join(_bucket_table(spark, plan), BUCKET)
     if plan.heavy:
-        joined = salted.join(F.broadcast(_heavy_table(spark, plan)), F.col(KEY).eqNullSafe(F.col(f"{KEY}_h")), "left")
+        joined = light.join(F.broadcast(_heavy_table(spark, plan)), F.col(KEY).eqNullSafe(F.col(f"{KEY}_h")), "left")
         shard = F.get(SHARDS, F.pmod(F.col(SALT), F.size(SHARDS).cast("bigint")).cast("int"))
-        placed = joined.withColumn(TASK, F.coalesce(shard, light)).drop(f"{KEY}_h", SHARDS, SALT)
+        placed = joined.withColumn(TASK, F.coalesce(shard, f"{TASK}_b")).drop(f"{KEY}_h", SHARDS)
     else:
-        placed = salted.withColumn(TASK, light).drop(SALT)
-    return placed.repartitionById(plan.tasks, F.col(TASK))
+        placed = light.withColumn(TASK, F.col(f"{TASK}_b"))
+    return placed.drop(SALT, BUCKET, f"{TASK}_b").repartitionById(plan.tasks, F.col(TASK))
 
 
 def replicate(df: DataFrame, key: Column, plan: LoadPlan) -> DataFrame:
     """The matching side: one copy of a row for each shard of a split key, a single copy for all others."""
     spark = df.sparkSession
-    lookup = F.expr(f"cast(split('{','.join(map(str, plan.bucket_task))}', ',') as array<int>)")
-    keyed = df.withColumn(KEY, key.cast("string"))
-    light = F.get(lookup, _bucket(F.col(KEY), len(plan.bucket_task)))
+    keyed = df.withColumn(KEY, key.cast("string")).withColumn(BUCKET, _bucket(F.col(KEY), len(plan.bucket_task))).join(_bucket_table(spark, plan), BUCKET)
     if plan.heavy:
         joined = keyed.join(F.broadcast(_heavy_table(spark, plan)), F.col(KEY).eqNullSafe(F.col(f"{KEY}_h")), "left").drop(f"{KEY}_h")
-        keyed = joined.withColumn(TASK, F.explode(F.coalesce(F.col(SHARDS), F.array(light)))).drop(SHARDS)
+        keyed = joined.withColumn(TASK, F.explode(F.coalesce(F.col(SHARDS), F.array(f"{TASK}_b")))).drop(SHARDS)
     else:
-        keyed = keyed.withColumn(TASK, light)
-    return keyed.repartitionById(plan.tasks, F.col(TASK))
+        keyed = keyed.withColumn(TASK, F.col(f"{TASK}_b"))
+    return keyed.drop(BUCKET, f"{TASK}_b").repartitionById(plan.tasks, F.col(TASK))
 
 
 def balanced_aggregate(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.operators.graph import undirected
-from lattica.session import staged
+from lattica.session import INTERNAL, staged
 
 
 def neighbors(edges: DataFrame, starts: DataFrame, max_hops: int = 1) -> DataFrame:
@@ -60,6 +60,24 @@ def closed_trails(both: DataFrame, base: DataFrame, max_hops: int) -> DataFrame:
     return found.groupBy("start").agg(F.min("hops").alias("hops")).select("start", F.col("start").alias("accession"), "hops")
 
 
+def numbered(df: DataFrame, order: list[str], name: str, after: int = 0) -> tuple[DataFrame, int]:
+    """df with its rows numbered in order from after + 1 on, and their number; a lost task gives the same numbers again.
+
+    The rows are sorted into ranges and written; each range is numbered by itself and shifted by the rows of the ranges
+    before it. The driver sees one count per range.
+    """
+    part, at = f"{INTERNAL}part", f"{INTERNAL}at"
+    ranged = staged(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "numbered")
+    counts = sorted(ranged.groupBy(part).count().collect())
+    before, total = [], after
+    for p, n in counts:
+        before.append((p, total))
+        total += n
+    shift = df.sparkSession.createDataFrame(before, f"{part} int, {at} bigint")
+    row = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    return ranged.join(F.broadcast(shift), part).withColumn(name, (row + F.col(at)).cast("bigint")).drop(part, at), total - after
+
+
 @dataclass
 class Expansion:
     """order: (accession, seq, level, processed); seq is the place in the queue from 1."""
@@ -85,12 +103,10 @@ def expand(partners: DataFrame, seeds: list[str], max_nodes: int | None = None)
         level += 1
         met = frontier.where(F.col("seq") <= limit).join(step, "accession").groupBy(F.col("dst").alias("accession")).agg(F.min(F.struct("seq", "rank")).alias("at"))
         fresh = met.join(known.select("accession"), "accession", "left_anti")
-        # a queue has one order; only the frontier of one level passes through this window
-        numbered = fresh.select("accession", (F.row_number().over(Window.orderBy("at.seq", "at.rank", "accession")) + F.lit(last)).cast("bigint").alias("seq"), F.lit(level).alias("level"))
-        frontier = staged(numbered, "frontier")
-        n = frontier.count()
+        placed, n = numbered(fresh, ["at.seq", "at.rank", "accession"], "seq", last)
         if not n:
             break
+        frontier = placed.select("accession", "seq", F.lit(level).alias("level"))
         known, last = known.unionByName(frontier), last + n
         if last - n >= limit:
             break

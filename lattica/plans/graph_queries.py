@@ -358,7 +358,7 @@ def growth_cumulative(spark, sf):
         rows = table(spark, sf, name).select(key.alias("k"), month).where("k is not null and seq is not null")
         parts.append(growth.first_seen(rows, ["k"], label))
     new = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return growth.cumulative(new, new.select("seq"))
+    return growth.cumulative(new, new.select("seq"), ["Protein", "GOTerm", "PubMedArticle"])
 
 
 @query(f"with {_SQL_FEATURE}, {_SQL_PROTEIN} select src, dst, \"start\", \"end\", p.name as protein_name from (select distinct src, dst, \"start\", \"end\" from hf) join protein p on p.accession = src")

@@ -20,7 +20,8 @@ BLANKS = " \t\n\r\x0b\x0c "
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) is a temporary folder made and set.
+    Only where that setting is absent and the master is local (tests, a laptop) is a temporary folder made and set; on a
+    cluster its absence is an error, as no folder of one machine is shared.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
@@ -28,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isDefined():
         return jsc.getCheckpointDir().get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = tempfile.mkdtemp(prefix="lattica-")
     atexit.register(shutil.rmtree, own, True)
     spark.sparkContext.setCheckpointDir(f"file://{own}")

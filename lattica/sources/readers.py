@@ -47,9 +47,13 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def conversions(pairs: DataFrame, batch: bool = False) -> DataFrame:
-    """(accession, gene_id) from lines (line, id, value): the first line of an accession counts, in a batch the last one. `up:` is taken off."""
+    """(accession, gene_id) from lines (line, id, value and, of several files, file): the first line of an accession counts, in a batch the last one.
+
+    Files count in the order of their names. `up:` is taken off.
+    """
     pick = F.max_by if batch else F.min_by
-    return pairs.groupBy(F.regexp_replace("id", "^up:", "").alias("accession")).agg(pick("value", "line").alias("gene_id"))
+    at = F.struct(*(c for c in ("file", "line") if c in pairs.columns))
+    return pairs.groupBy(F.regexp_replace("id", "^up:", "").alias("accession")).agg(pick("value", at).alias("gene_id"))
 
 
 def links(pairs: DataFrame) -> DataFrame:
@@ -76,7 +80,7 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(header, sequence) of FASTA files."""
-    records = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).where("trim(value) <> ''")
     parts = F.split("value", r"\R", 2)
     return records.select(F.trim(parts[0]).alias("header"), F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s", "").alias("sequence"))
 

@@ -10,14 +10,14 @@ from lattica.operators.graph import PropertyGraph
 from lattica.schemas import NODES
 
 
-def upsert_stream(stream: DataFrame, graph: PropertyGraph, name: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
-    """Merge every micro-batch of a stream into a label or type. A batch that comes twice changes nothing, so a restart is safe."""
+def upsert_stream(stream: DataFrame, graph: PropertyGraph, name: str, checkpoint: str, order: str | None = None, dangling: bool = False) -> StreamingQuery:
+    """Merge every micro-batch of a stream into a label or type; edges with an unknown end are dropped unless `dangling`. A batch that comes twice changes nothing, so a restart is safe."""
 
     def put(batch: DataFrame, _: int) -> None:
         if name in NODES:
             graph.merge_nodes(name, batch, order=order)
         else:
-            graph.merge_edges(name, batch, order=order, dangling=True)
+            graph.merge_edges(name, batch, order=order, dangling=dangling)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -209,7 +209,7 @@ def test_closure_ends_on_cycles(spark):
 
 def test_growth(spark, tmp_path):
     new = growth.first_seen(spark.createDataFrame([("a", 1), ("a", 3), ("b", 3)], "k string, seq int"), ["k"], "L")
-    log = growth.cumulative(new, spark.createDataFrame([(1,), (2,), (3,)], "seq int"))
+    log = growth.cumulative(new, spark.createDataFrame([(1,), (2,), (3,)], "seq int"), ["L"])
     assert sorted((r["seq"], r["total"]) for r in log.collect()) == [(1, 1), (2, 1), (3, 2)]
     path = str(tmp_path / "log")
     growth.write_log(log, path)
@@ -226,6 +226,8 @@ def test_projection_both_ways(spark):
     segments = spark.createDataFrame([("P", "A", 10, 20, 110, 120), ("P", "B", 1, 10, 50, 41), ("Q", "C", 1, 99, 1, 99)], "accession string, chain_id string, unp_start int, unp_end int, pdb_start int, pdb_end int")
     got = sorted((r["feature"], r["chain_id"], r["lo"], r["hi"]) for r in interval.project_features(features, segments, ["accession"]).collect())
     assert got == [(1, "A", 110, 112), (1, "B", 41, 46)]
+    bad = spark.createDataFrame([("P", 1, 0, 12), ("P", 2, 15, 12), ("P", 3, -5, -1)], "accession string, feature int, start int, end int")
+    assert interval.project_features(bad, segments, ["accession"]).count() == 0
 
 
 def test_bins_find_every_overlap_once(spark):
@@ -247,18 +249,25 @@ def test_slices_and_manifest(spark):
     got = {r["structure"]: r for r in interval.slice_by_range(lines, 2, 3).collect()}
     assert got["S1"]["n_atoms"] == 3 and got["S1"]["content"].endswith("\nEND\n")
     assert interval.slice_by_range(lines, 5, 2).count() == 0 and interval.slice_by_range(lines, 50, 60).count() == 0
-    features = spark.createDataFrame([("P", "f1", 2, 3), ("P", "f2", 1, 2), ("P", "f3", None, 2), (" ", "f4", 1, 2), ("P", "f5", 70, 80)], "accession string, feature string, start int, end int")
+    features = spark.createDataFrame([("P", "f1", 2, 3), ("P", "f2", 1, 2), ("P", "f3", None, 2), (" ", "f4", 1, 2), ("P", "f5", 70, 80), ("P", "f1", 3, 3), ("P", "f1", 3, 3), ("P", "f6", 3, 2), ("P", "f7", 0, 2)], "accession string, feature string, start int, end int")
     structures = spark.createDataFrame([("P", "S1", 1), ("P", "S2", 2)], "accession string, structure string, place int")
     segs = spark.createDataFrame([("P", "S2", "A", 2, 3, 2, 3), ("P", "S1", "Z", 2, 3, 2, 3)], "accession string, structure string, chain_id string, unp_start int, unp_end int, pdb_start int, pdb_end int")
-    m = {r["feature"]: tuple(r) for r in interval.structure_manifest(features, structures, segs, lines).collect()}
-    assert m == {"f1": ("P", "f1", "S2", "mapped", "A", 2), "f2": ("P", "f2", "S2", "mapped", "A", 1)}
+    m = sorted(tuple(r) for r in interval.structure_manifest(features, structures, segs, lines).collect())
+    assert m == [("P", "f1", 2, 3, "S2", "mapped", "A", 2), ("P", "f1", 3, 3, "S2", "mapped", "A", 1), ("P", "f2", 1, 2, "S2", "mapped", "A", 1)]
+    names = {(r["start"], r["filename"], r["placeholder"]) for r in interval.slice_names(interval.structure_manifest(features, structures, segs, lines)).where("feature = 'f1'").collect()}
+    assert names == {(2, "feature_f1_2_3_pdb_S2_chain_A.pdb", "[structure/feature_f1_2_3_pdb_S2_chain_A.pdb]"), (3, "feature_f1_3_3_pdb_S2_chain_A.pdb", "[structure/feature_f1_3_3_pdb_S2_chain_A.pdb]")}
     only = interval.structure_manifest(features, structures, segs.where("structure = 'none'"), lines).collect()
-    assert {(r["feature"], r["structure"], r["kind"], r["n_atoms"]) for r in only} == {("f1", "S1", "plain", 3), ("f2", "S1", "plain", 2)}
+    assert {(r["feature"], r["structure"], r["kind"], r["n_atoms"]) for r in only} == {("f1", "S1", "plain", 3), ("f1", "S1", "plain", 2), ("f2", "S1", "plain", 2)}
 
 
 def test_residue_mapping_payload(spark):
     payload = '{"mappings": [{"chain_id": "A", "unp_start": 1, "unp_end": 9, "start": {"author_residue_number": 0, "residue_number": 4}, "end": {"author_residue_number": 12}}, {"chain_id": "B", "unp_start": 1}]}'
     got = spark.createDataFrame([(payload,), ("x",), (None,)], "p string").select(interval.segments(F.col("p"))).collect()
+    whole = '{"1abc": {"UniProt": {"P1": {"mappings": [{"chain_id": " A", "unp_start": 0, "unp_start_residue_number": 5, "unp_end": 9, "start": {"residue_number": 2}, "end": {"residue_number": 6}}, {"chain_id": " ", "unp_start": 1, "unp_end": 2, "start": {"residue_number": 2}, "end": {"residue_number": 6}}, {"chain_id": "B", "start": {"author_residue_number": 3, "residue_number": 7}, "end": {"residue_number": 8}}]}, "P2": {"mappings": []}}}, "2xyz": {"UniProt": null}}'
+    df = spark.createDataFrame([(whole,)], "p string")
+    every = df.select(F.explode(interval.mapping_segments(F.col("p"))).alias("s")).select("s.*").collect()
+    assert [tuple(r) for r in every] == [("1ABC", "P1", "A", 5, 9, 2, 6), ("1ABC", "P1", "B", 7, 8, 3, 8)]
+    assert len(df.select(interval.segments(F.col("p"), F.lit("1Abc"), F.lit("P1"))).first()[0]) == 2 and df.select(interval.segments(F.col("p"), F.lit("1abc"), F.lit("P2"))).first()[0] == []
     assert [tuple(x) for x in got[0][0]] == [("A", 1, 9, 4, 12)] and got[1][0] is None and got[2][0] is None
     tag = spark.createDataFrame([(["B", "A", "B"],)], "c array<string>").select(interval.chain_tag(F.col("c"))).first()[0]
     assert tag == "A_B"

@@ -67,3 +67,13 @@ def test_empty_table(spark):
 def test_pack_puts_the_largest_first():
     plan = pack([10, 10, 10, 10], {}, 2, 20, lambda k: 0, 40)
     assert sorted(plan.loads) == [20, 20]
+
+
+def test_whole_keys_of_very_many_rows_use_all_tasks(spark):
+    from lattica.operators import skew
+
+    rows, tasks = 10_000_000_000, 10_000
+    assert skew.default_tasks(spark, rows) == tasks
+    buckets = max(skew.LEAST_BUCKETS, skew.BUCKETS_PER_TASK * tasks)
+    plan = pack([rows // buckets] * buckets, {}, tasks, rows / tasks, None, rows)
+    assert len(set(plan.bucket_task)) == tasks and max(plan.loads) < 1.5 * rows / tasks
