@@ -40,7 +40,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 
 
 def ingest(spark: SparkSession, path: str, sources: str) -> dict[str, int]:
-    names = ("entries", "interactions", "features", "annotations", "terms", "articles")
+    names = ("entries", "interactions", "features", "annotations", "terms", "articles", "structures", "predictions", "full_texts")
     found = {n: spark.read.parquet(f"{sources}/{n}.parquet") for n in names if Path(sources, f"{n}.parquet").exists()}
     seeds = [x.strip() for x in os.environ.get("SEEDS", "P04637").split(",") if x.strip()]
     cap = os.environ.get("MAX_PROTEINS")

@@ -140,7 +140,7 @@ def citation(authors: Column, title: Column, abbreviation: Column, journal: Colu
 
 # Addresses of public structure files.
 STRUCTURE_PAGE, STRUCTURE_FILE = "https://www.rcsb.org/structure/", "https://files.rcsb.org/download/"
-PREDICTION_FILE = "https://alphafold.ebi.ac.uk/files/"
+PREDICTION_FILE, ARTICLE_PAGE = "https://alphafold.ebi.ac.uk/files/", "https://pubmed.ncbi.nlm.nih.gov/"
 
 
 def url(prefix: str, identifier: Column, suffix: str = "") -> Column:

@@ -180,6 +180,19 @@ def induced_edges(edges: DataFrame, members: DataFrame, distinct: bool = False)
     return inside if distinct else undirected(inside)
 
 
+def context_counts(graph: PropertyGraph, members: DataFrame) -> DataFrame:
+    """(accession, n_features, n_terms, n_cited): how many entries the lists of `context` have, each counted by its own group."""
+    m = members.select("accession").distinct()
+
+    def counted(kind: str, target: str, key: str, name: str) -> DataFrame:
+        known = graph.nodes(target).select(F.col(key).alias("dst"))
+        return graph.edges(kind).select("src", "dst").join(known, "dst", "left_semi").groupBy(F.col("src").alias("accession")).agg(F.count(F.lit(1)).alias(name))
+
+    parts = [("HAS_FEATURE", "ProteinFeature", "accession", "n_features"), ("HAS_GO_ANNOTATION", "GOTerm", "go_id", "n_terms"), ("CITED_IN", "PubMedArticle", "pmid", "n_cited")]
+    found = reduce(lambda a, b: a.join(counted(*b), "accession", "left"), parts, m)
+    return found.select("accession", *(F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for *_, name in parts))
+
+
 def context(graph: PropertyGraph, members: DataFrame) -> DataFrame:
     """(accession, context) of every member; context holds the protein, its features, terms and articles and the edges to them.
 

@@ -16,6 +16,7 @@ from lattica.functions import records, text
 from lattica.functions.nested import cross_references
 from lattica.operators import traverse
 from lattica.operators.graph import PropertyGraph
+from lattica.sources.lookups import prediction_urls
 
 
 @dataclass
@@ -48,6 +49,8 @@ def expand_graph(spark: SparkSession, sources: Mapping[str, DataFrame], seeds: l
     entries: accession, name, gene_name, organism, taxon_id, sequence, length, mol_weight, is_reviewed, function_text,
     ec_numbers, string_id. features: accession, feature, name, source_database, type, integrated, start, end, score, model,
     reference. annotations: accession, go_id, qualifier, evidence_code, eco_code, reference, assigned_by, is_experimental.
+    structures: accession, entry_id, place. predictions: as delivered, with uniprotAccession, entryId, cifUrl and pdbUrl.
+    full_texts: pmc, full_text. Articles get their address, and the full text of their pmc where there is one.
     Partners of the last processed proteins stay as keys without properties. Articles that are cited but not delivered
     become nodes with a number only.
     """
@@ -56,7 +59,7 @@ def expand_graph(spark: SparkSession, sources: Mapping[str, DataFrame], seeds: l
     grown = traverse.expand(partners.select("src", "dst", "rank"), seeds, max_nodes)
     done = grown.order.where("processed").select("accession")
     g = PropertyGraph(spark, path)
-    g.merge_nodes("Protein", grown.order.select("accession"), entries.join(done, "accession", "left_semi"))
+    g.merge_nodes("Protein", grown.order.select("accession"), entries.join(done, "accession", "left_semi"), structure_properties(done, sources.get("structures"), sources.get("predictions")))
     edges = partners.join(done.withColumnRenamed("accession", "src"), "src", "left_semi")
     g.merge_edges("INTERACTS_WITH", edges.select("src", "dst", "score", F.col("score").alias("confidence"), "escore", "dscore", "tscore", "nscore", "ascore", "fscore", records.dominant_source().alias("dominant_source")))
     cited: list[DataFrame] = []
@@ -75,13 +78,40 @@ def expand_graph(spark: SparkSession, sources: Mapping[str, DataFrame], seeds: l
         cited.append(f.select(F.col("accession").alias("protein"), "feature", F.explode(text.pmids(F.col("reference"))).alias("article")))
     for rows in cited:
         ids = rows.select(F.col("article").alias("pmid")).distinct()
-        delivered = [sources["articles"].join(ids, "pmid", "left_semi")] if "articles" in sources else []
+        delivered = [article_table(sources["articles"].join(ids, "pmid", "left_semi"), sources.get("full_texts"))] if "articles" in sources else []
         g.merge_nodes("PubMedArticle", ids, *delivered)
         g.merge_edges("CITED_IN", rows.select(F.col("protein").alias("src"), F.col("article").alias("dst")))
         g.merge_edges("EVIDENCED_BY", rows.where("feature is not null").select(F.col("feature").alias("src"), F.col("article").alias("dst")))
     return Result(g, grown.order, {"proteins_processed": grown.processed, "proteins_discovered": grown.discovered})
 
 
+def structure_properties(proteins: DataFrame, structures: DataFrame | None, predictions: DataFrame | None) -> DataFrame:
+    """(accession, ...): ids and addresses of the structures and predictions of every protein; [] and '' where there are none."""
+    found = proteins.select("accession").distinct()
+    if structures is None:
+        found = found.withColumn("pdb_ids", F.array().cast("array<string>"))
+    else:
+        ordered = F.array_sort(F.collect_list(F.struct("place", F.col("entry_id").alias("id"))))
+        listed = structures.where("entry_id is not null").groupBy("accession").agg(F.transform(ordered, lambda x: x.getField("id")).alias("pdb_ids"))
+        found = found.join(listed, "accession", "left").withColumn("pdb_ids", F.coalesce("pdb_ids", F.array().cast("array<string>")))
+    ids = F.col("pdb_ids")
+    found = found.withColumns({"pdb_entry_urls": records.urls(records.STRUCTURE_PAGE, ids), "pdb_cif_urls": records.urls(records.STRUCTURE_FILE, ids, ".cif"), "pdb_pdb_urls": records.urls(records.STRUCTURE_FILE, ids, ".pdb")})
+    lists, texts = ("alphafold_entry_ids", "alphafold_cif_urls", "alphafold_pdb_urls"), ("alphafold_cif_url", "alphafold_pdb_url")
+    if predictions is not None:
+        found = found.join(prediction_urls(predictions), "accession", "left")
+    have = lambda c, none: F.coalesce(F.col(c), none) if predictions is not None else none
+    return found.withColumns({c: have(c, F.array().cast("array<string>")) for c in lists} | {c: have(c, F.lit("")) for c in texts})
+
+
+def article_table(articles: DataFrame, full_texts: DataFrame | None = None) -> DataFrame:
+    """Delivered articles with pubmed_url and, by their pmc, full_text ('' without)."""
+    named = articles.withColumn("pubmed_url", records.url(records.ARTICLE_PAGE, F.col("pmid"), "/"))
+    if full_texts is None or "pmc" not in articles.columns:
+        return named
+    texts = full_texts.where("pmc is not null").groupBy("pmc").agg(F.max("full_text").alias("full_text"))
+    return named.drop("full_text").join(texts, "pmc", "left").withColumn("full_text", F.coalesce("full_text", F.lit("")))
+
+
 def entry_table(raw: DataFrame) -> DataFrame:
     """Entries for expand_graph from delivered protein records."""
     d, s = F.col("proteinDescription"), F.col("sequence")

@@ -16,8 +16,8 @@ from lattica.operators.graph import undirected
 from lattica.session import INTERNAL, staged
 
 
-def neighbors(edges: DataFrame, starts: DataFrame, max_hops: int = 1) -> DataFrame:
-    """(start, accession, hops): nodes reached from each start over 1..max_hops undirected edges, with the least number.
+def neighbors(edges: DataFrame, starts: DataFrame, max_hops: int = 1, closed_only: bool = False) -> DataFrame:
+    """(start, accession, hops): nodes reached from each start over 1..max_hops undirected edges, with the least number; closed_only: the starts themselves only.
 
     The start itself is reached if a closed trail, which uses no edge twice, is short enough: a self-loop in one hop, two
     parallel edges in two, or an edge (start, x) and another way from x back that does not use it.
@@ -25,6 +25,8 @@ def neighbors(edges: DataFrame, starts: DataFrame, max_hops: int = 1) -> DataFra
     base = starts.select(F.col("accession").alias("start")).where("start is not null").distinct()
     stored = edges.select("src", "dst").where("src is not null and dst is not null").withColumn("edge", F.struct("src", "dst"))
     both = staged(undirected(stored), "edges")  # read once per hop
+    if closed_only:
+        return closed_trails(both, base, max_hops)
     step = both.select("src", "dst").distinct()
     known = staged(base.select("start", F.col("start").alias("accession"), F.lit(0).alias("hops")), "near")
     frontier = known

@@ -76,7 +76,7 @@ _SQL_EDGE = f"""
 edge as (select a as src, b as dst, max(s) as score from (select {_fold('stringId_A')} as a, {_fold('stringId_B')} as b, {_VALID} as s from string_interaction)
   where a is not null and b is not null and a <> b and s is not null group by a, b)
 """
-_SQL_TOP = f"{_SQL_EDGE}, top as (select src, dst, score, row_number() over (partition by src order by score desc, dst) as rank from edge qualify rank <= 6)"
+_SQL_PARTNERS = f"{_SQL_EDGE}, top as (select src, dst, score, row_number() over (partition by src order by score desc, dst) as rank from edge where score >= 0.7 qualify rank <= 50)"
 _SQL_SEED = "seed as (select src as id from edge group by src order by count(*) desc, src limit 1)"
 
 
@@ -85,14 +85,11 @@ def best_edges(spark: SparkSession, sf: str) -> DataFrame:
     return si.where("src is not null and dst is not null and src <> dst and score is not null").groupBy("src", "dst").agg(F.max("score").alias("score"))
 
 
-def top_edges(spark: SparkSession, sf: str, k: int = 6, least: float = 0.0) -> DataFrame:
-    order = Window.partitionBy("src").orderBy(F.col("score").desc(), "dst")
-    return best_edges(spark, sf).where(F.col("score") >= least).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
 def partner_ranks(spark: SparkSession, sf: str, threshold: int = 700, limit: int = 50) -> DataFrame:
-    """Per protein the best `limit` partners with a score from threshold / 1000, as ingest.partner_edges takes them, between network ids."""
-    return top_edges(spark, sf, limit, threshold / 1000)
+    """Per protein the best `limit` partners with a score from threshold / 1000, as the ingest takes them, between network ids."""
+    order = Window.partitionBy("src").orderBy(F.col("score").desc(), "dst")
+    strong = best_edges(spark, sf).where(F.col("score") >= threshold / 1000)
+    return strong.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
 def seed_of(edges: DataFrame) -> str:
@@ -210,12 +207,12 @@ def ppi_topk(spark, sf):
     return strong.withColumn("n", F.row_number().over(order)).where("n <= 10").drop("n")
 
 
-_SQL_MEMBERS = f"members as (select distinct {_fold('stringId')} as id from string_mapping where ncbiTaxonId = 900117 and stringId is not null)"
+_SQL_MEMBERS = f"members as (select distinct {_fold('stringId')} as id from string_mapping where stringId is not null)"
 
 
 def members(spark: SparkSession, sf: str) -> DataFrame:
-    m = table(spark, sf, "string_mapping").where("ncbiTaxonId = 900117 and stringId is not null")
-    return m.select(folded_id("stringId").alias("accession")).distinct()
+    """Every known id."""
+    return table(spark, sf, "string_mapping").where("stringId is not null").select(folded_id("stringId").alias("accession")).distinct()
 
 
 @query(f"with {_SQL_EDGE}, {_SQL_MEMBERS}, i as (select * from edge where src in (select id from members) and dst in (select id from members)) select src, dst, score from i union all select dst, src, score from i")
@@ -250,31 +247,6 @@ def partners_of_seed(spark, sf):
     return graph.partners(e.select(F.col("src").alias("accession")).distinct(), e, seed_of(e), 5).select("accession", "score")
 
 
-@query(f"""
-with recursive {_SQL_TOP}, {_SQL_SEED},
-bothways as (select src, dst from top union select dst, src from top),
-w as (select id, 0 as hops from seed union select b.dst, w.hops + 1 from w join bothways b on b.src = w.id where w.hops < 3),
-r as (select id as accession, min(hops) as hops from w group by id having min(hops) > 0)
-select accession, hops from r where accession <> (select id from seed)
-""")
-def neighbors_khop(spark, sf):
-    e = top_edges(spark, sf).select("src", "dst")
-    seed = seed_of(best_edges(spark, sf))
-    found = traverse.neighbors(e, spark.createDataFrame([(seed,)], "accession string"), 3)
-    return found.where(F.col("accession") != F.col("start")).select("accession", "hops")
-
-
-@query(f"""
-with {_SQL_TOP}, {_SQL_SEED}, pair as (select distinct a.src as start from top a join top b on a.src = b.dst and a.dst = b.src)
-select id as start, 2 as hops from seed where id in (select start from pair)
-""")
-def neighbors_closed_trail(spark, sf):
-    e = top_edges(spark, sf).select("src", "dst")
-    seed = seed_of(best_edges(spark, sf))
-    found = traverse.neighbors(e, spark.createDataFrame([(seed,)], "accession string"), 2)
-    return found.where(F.col("accession") == F.col("start")).select("start", "hops")
-
-
 @query(f"""
 with recursive {_SQL_EDGE}, {_SQL_SEED},
 bothways as (select src, dst from edge union select dst, src from edge),
@@ -282,39 +254,32 @@ w as (select id, 0 as hops from seed union select b.dst, w.hops + 1 from w join
 r as (select id as accession, min(hops) as hops from w group by id having min(hops) > 0)
 select accession, hops from r where accession <> (select id from seed)
 """)
-def neighbors_khop_all(spark, sf):
-    """neighbors_khop over every edge, not the six best of each protein."""
+def neighbors_khop(spark, sf):
+    """What the protein with the most partners reaches within three hops over every edge."""
     e = best_edges(spark, sf)
-    seed = seed_of(e)
-    found = traverse.neighbors(e.select("src", "dst"), spark.createDataFrame([(seed,)], "accession string"), 3)
+    found = traverse.neighbors(e.select("src", "dst"), spark.createDataFrame([(seed_of(e),)], "accession string"), 3)
     return found.where(F.col("accession") != F.col("start")).select("accession", "hops")
 
 
 @query(f"""
-with {_SQL_EDGE}, {_SQL_SEED}, pair as (select distinct a.src as start from edge a join edge b on a.src = b.dst and a.dst = b.src)
-select id as start, 2 as hops from seed where id in (select start from pair)
+with {_SQL_EDGE}, pair as (select distinct a.src as start from edge a join edge b on a.src = b.dst and a.dst = b.src) select start, 2 as hops from pair
 """)
-def neighbors_closed_trail_all(spark, sf):
-    """neighbors_closed_trail over every edge."""
+def neighbors_closed_trail(spark, sf):
+    """Every protein that two parallel edges, one in each direction, lead back to."""
     e = best_edges(spark, sf)
-    seed = seed_of(e)
-    found = traverse.neighbors(e.select("src", "dst"), spark.createDataFrame([(seed,)], "accession string"), 2)
-    return found.where(F.col("accession") == F.col("start")).select("start", "hops")
+    found = traverse.neighbors(e.select("src", "dst"), e.select(F.col("src").alias("accession")), 2, closed_only=True)
+    return found.select("start", "hops")
 
 
 _SQL_BFS = f"""
-with recursive {_SQL_TOP}, {_SQL_SEED},
+with recursive {_SQL_PARTNERS}, {_SQL_SEED},
 w as (select id, 0 as level from seed union select t.dst, w.level + 1 from w join top t on t.src = w.id where w.level < 30),
 lev as (select id, min(level) as level from w group by id)
 """
 
 
 def expansion(spark: SparkSession, sf: str, cap: int | None = None) -> traverse.Expansion:
-    return traverse.expand(top_edges(spark, sf).select("src", "dst", "rank"), [seed_of(best_edges(spark, sf))], cap)
-
-
-def partner_expansion(spark: SparkSession, sf: str, cap: int | None = None) -> traverse.Expansion:
-    """Growth over the partners the engine's ingest takes (threshold 700, limit 50)."""
+    """Growth from the protein with the most partners over the partners the ingest takes (score from 0.7, at most 50)."""
     return traverse.expand(partner_ranks(spark, sf).select("src", "dst", "rank"), [seed_of(best_edges(spark, sf))], cap)
 
 
@@ -328,19 +293,18 @@ def bfs_stats(spark, sf):
     return expansion(spark, sf).order.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def bfs_levels_partners(spark, sf):
-    return partner_expansion(spark, sf).order.select("accession", "level")
-
-
-@query()
-def bfs_stats_partners(spark, sf):
-    return partner_expansion(spark, sf).order.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query()
+@query(f"""
+with {_SQL_PARTNERS}, {_SQL_SEED},
+first as (select dst as id, rank + 1 as seq from top where src = (select id from seed) and dst <> (select id from seed)),
+numbered as (select id, row_number() over (order by seq) + 1 as seq from first),
+met as (select t.dst as id, min((n.seq, t.rank)) as place from numbered n join top t on t.src = n.id where n.seq <= 40 and t.dst <> (select id from seed) and t.dst not in (select id from numbered) group by t.dst),
+q as (select id, 1 as seq, 0 as level from seed union all select id, seq, 1 from numbered
+  union all select id, (select count(*) from numbered) + 1 + row_number() over (order by place), 2 from met)
+select id as accession, seq::bigint as seq, level::int as level, seq <= 40 as processed from q
+""")
 def bfs_capped(spark, sf):
-    return partner_expansion(spark, sf, 40).order
+    """The queue of a growth of which the first 40 proteins are processed; the twin holds for a first protein with 39 partners or more."""
+    return expansion(spark, sf, 40).order
 
 
 @query("""
@@ -421,8 +385,8 @@ from protein left join nf on nf.src = accession left join nt on nt.src = accessi
 """)
 def context_counts(spark, sf):
     g = small_graph(spark, sf)
-    c = g.context(g.accessions()).select("accession", text.prompt_context(F.col("context")).getField("counts").alias("n"))
-    return c.select("accession", F.col("n.features").alias("n_features"), F.col("n.go_terms").alias("n_terms"), F.col("n.cited_in").alias("n_cited"))
+    n = graph.context_counts(g, g.accessions())
+    return n.select("accession", *(F.col(c).cast("int").alias(c) for c in ("n_features", "n_terms", "n_cited")))
 
 
 @query()
@@ -481,13 +445,16 @@ def pathway_members(spark, sf):
 
 
 @query(f"""
-with {_SQL_PATHWAY}, {_SQL_PROTEIN}, e as (select accession, unnest(ec_numbers) as ec from protein),
+with {_SQL_PATHWAY}, {_SQL_PROTEIN}, e as (select accession, unnest(ec_numbers) as ec from protein union select accession, '1.1.1.' || right(accession, 1) from cv),
 m as (select distinct entry_id as pathway, accession, ec from pg join cv using (gene) join e using (accession))
 select a.accession as src, b.accession as dst, a.ec as ec_number, a.pathway as pathway_id from m a join m b on a.pathway = b.pathway and a.ec = b.ec and a.accession < b.accession
 """)
 def enzymatic_pairs(spark, sf):
-    e = proteins(spark, sf).select("accession", F.explode("ec_numbers").alias("ec_number"))
-    m = pathway_genes(spark, sf).join(converted(spark, sf), "gene").join(e, "accession").select(F.col("entry_id").alias("pathway_id"), "accession", "ec_number").distinct()
+    """Proteins that share a pathway and an enzyme number; beside those of the entries, every known gene has one by its last character."""
+    known = converted(spark, sf)
+    planted = known.select("accession", F.concat(F.lit("1.1.1."), F.right("accession", F.lit(1))).alias("ec_number"))
+    e = proteins(spark, sf).select("accession", F.explode("ec_numbers").alias("ec_number")).unionByName(planted).distinct()
+    m = pathway_genes(spark, sf).join(known, "gene").join(e, "accession").select(F.col("entry_id").alias("pathway_id"), "accession", "ec_number").distinct()
     a, b = m.withColumnRenamed("accession", "src"), m.withColumnRenamed("accession", "dst")
     return a.join(b, ["pathway_id", "ec_number"]).where("src < dst").select("src", "dst", "ec_number", "pathway_id")
 
@@ -510,6 +477,53 @@ def missing_accessions(spark, sf):
     return asked.join(proteins(spark, sf).select("accession"), "accession", "left_anti")
 
 
+@query(f"with {_SQL_EDGE} select src, dst, score from edge order by src, dst limit 25")
+def ppi_sample(spark, sf):
+    """The demo's sample of 25 interactions."""
+    return best_edges(spark, sf).orderBy("src", "dst").limit(25)
+
+
+_SQL_XREFS = f"""
+xr as (select {_trim('primaryAccession')} as accession, unnest(case when uniProtKBCrossReferences is not null then list_transform(uniProtKBCrossReferences, lambda x: {{'d': x.database, 'i': x.id}})
+  else list_transform(json_extract(dbReferences, '$[*]'), lambda x: {{'d': coalesce(x ->> '$.database', x ->> '$.type'), 'i': x ->> '$.id'}}) end) as x from uniprot_entry where primaryAccession is not null),
+pdb as (select distinct accession, x.i as id from xr where x.d = 'PDB' and x.i is not null), af as (select distinct accession, x.i as id from xr where x.d = 'AlphaFoldDB' and x.i is not null)
+"""
+
+
+def reference_ids(spark: SparkSession, sf: str, database: str) -> DataFrame:
+    """(accession, id) of the cross-references of all versions of an entry to one database."""
+    u = table(spark, sf, "uniprot_entry").where("primaryAccession is not null")
+    refs = cross_references(F.col("uniProtKBCrossReferences"), F.col("dbReferences"))
+    return u.select(trimmed("primaryAccession").alias("accession"), F.explode(records.ref_ids(refs, database)).alias("id")).where("id is not null").distinct()
+
+
+@query(f"""
+with {_SQL_XREFS}, p as (select accession, list(id order by id) as ids from pdb group by accession), f as (select accession, list(id order by id) as ids from af group by accession)
+select accession, array_to_string(p.ids, ' ') as pdb_ids, 'https://files.rcsb.org/download/' || p.ids[1] || '.cif' as first_cif, coalesce(array_to_string(f.ids, ' '), '') as alphafold_entry_ids,
+  coalesce('https://alphafold.ebi.ac.uk/files/AF-' || f.ids[1] || '-F1-model_v4.pdb', '') as alphafold_pdb_url from p left join f using (accession)
+""")
+def protein_structures(spark, sf):
+    """The demo's proteins with structures, from the properties that the ingest gives a protein."""
+    from lattica.operators.ingest import structure_properties
+
+    pdb, af = reference_ids(spark, sf, "PDB"), reference_ids(spark, sf, "AlphaFoldDB")
+    file = lambda form: F.concat(F.lit("https://alphafold.ebi.ac.uk/files/AF-"), F.col("id"), F.lit(f"-F1-model_v4.{form}"))
+    predictions = af.select(F.col("accession").alias("uniprotAccession"), F.col("id").alias("entryId"), file("cif").alias("cifUrl"), file("pdb").alias("pdbUrl"))
+    found = structure_properties(proteins(spark, sf), pdb.select("accession", F.col("id").alias("entry_id"), F.lit(1).alias("place")), predictions)
+    some = found.where(F.size("pdb_ids") > 0)
+    return some.select("accession", F.array_join("pdb_ids", " ").alias("pdb_ids"), records.first(F.col("pdb_cif_urls")).alias("first_cif"), F.array_join("alphafold_entry_ids", " ").alias("alphafold_entry_ids"), "alphafold_pdb_url")
+
+
+@query(f"with {_SQL_ARTICLE} select pmid, 'https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/' as pubmed_url, coalesce('text of ' || nullif(pmc, ''), '') as full_text from article")
+def article_nodes(spark, sf):
+    """Articles with their address and the full text of their pmc, here a made one."""
+    from lattica.operators.ingest import article_table
+
+    a = articles(spark, sf)
+    texts = a.where("pmc <> ''").select("pmc", F.concat(F.lit("text of "), F.col("pmc")).alias("full_text")).distinct()
+    return article_table(a, texts).select("pmid", "pubmed_url", "full_text")
+
+
 # ---- records and functions
 
 _CHANNELS = ", ".join(f"coalesce({c}, 0)" for c, _ in records.CHANNELS)
@@ -661,8 +675,36 @@ with c as (select lower(trim(entry_id)) as gene_id, regexp_replace(uniprot_id, '
 select accession, min_by(gene_id, (loaded_at, gene_id)) as gene_id from c group by accession
 """)
 def first_conversion(spark, sf):
-    c = table(spark, sf, "kegg_conv").where("uniprot_id is not null and entry_id is not null").select(F.lower(trimmed("entry_id")).alias("gene_id"), F.regexp_replace("uniprot_id", "^up:", "").alias("accession"), "loaded_at")
-    return c.groupBy("accession").agg(F.min_by("gene_id", F.struct("loaded_at", "gene_id")).alias("gene_id"))
+    from lattica.sources.readers import conversions
+
+    c = table(spark, sf, "kegg_conv").where("uniprot_id is not null and entry_id is not null")
+    return conversions(c.select(F.col("uniprot_id").alias("id"), F.lower(trimmed("entry_id")).alias("value"), F.struct(F.col("loaded_at"), F.lower(trimmed("entry_id"))).alias("line")))
+
+
+@query("""
+with k as (select distinct entry_id, raw from kegg_pathway where raw is not null),
+f as (select entry_id, raw, 'ENTRY       ' || entry_id || '  CDS' || chr(10) || 'ORTHOLOGY   K0 kinase of ' || entry_id || ' [EC:2.7.11.1 2.7.1.1]' || chr(10) || 'DISEASE     H1 big  disease' || chr(10) || '            Rickets' as x from k)
+select entry_id, 'K0' as ko, 'kinase of ' || entry_id || ' [EC:2.7.11.1 2.7.1.1]' as ko_definition, '2.7.11.1' as ec_numbers, 'big  disease|Rickets' as diseases, '1ABC 2XYZ' as pdb_ids, 'P1' as uniprot from f
+""")
+def gene_entries(spark, sf):
+    """Gene entries parsed from flat files made of the pathways' ids."""
+    k = table(spark, sf, "kegg_pathway").where("raw is not null").select("entry_id", "raw").distinct()
+    head = F.concat(F.lit("ENTRY       "), F.col("entry_id"), F.lit("  CDS\nORTHOLOGY   K0 kinase of "), F.col("entry_id"))
+    raw = F.concat(head, F.lit(" [EC:2.7.11.1 2.7.1.1]\nDISEASE     H1 big  disease\n            Rickets\nSTRUCTURE   PDB: 1ABC 2XYZ\nDBLINKS     UniProt: P1 P2\n///\nDISEASE     H9 not read"))
+    g = k.select("entry_id", flatfile.gene_entry(raw).alias("g"))
+    return g.select("entry_id", "g.ko", "g.ko_definition", F.array_join("g.ec_numbers", " ").alias("ec_numbers"), F.array_join("g.diseases", "|").alias("diseases"), F.array_join("g.pdb_ids", " ").alias("pdb_ids"), "g.uniprot")
+
+
+@query("select distinct rec_id, primaryAccession as header, regexp_replace(sequence.value, '\\s', '', 'g') as sequence from uniprot_entry where primaryAccession is not null and sequence.value <> ''")
+def fasta_round_trip(spark, sf):
+    """Sequences written as FASTA, sixty letters a line and with `>` inside the header, and read back."""
+    from lattica.sources.readers import read_fasta
+
+    u = table(spark, sf, "uniprot_entry").where("primaryAccession is not null and sequence.value <> ''").select("rec_id", "primaryAccession", F.regexp_replace("sequence.value", r"\s", "").alias("s")).distinct()
+    path = staging_path(spark, "fasta")
+    u.select(F.concat(F.lit(">"), F.col("rec_id").cast("string"), F.lit(" 5'->3' "), F.col("primaryAccession"), F.lit("\n"), F.regexp_replace("s", "(.{60})", "$1\n"))).write.text(path)
+    parts = F.split("header", " ")
+    return read_fasta(spark, path).select(parts[0].cast("bigint").alias("rec_id"), parts[2].alias("header"), "sequence")
 
 
 @query(f"""
@@ -693,7 +735,7 @@ u as (select distinct rec_id, primaryAccession as accession, features from unipr
 ef as (select rec_id, accession, unnest(range(len(features)))::int as feature, unnest(features) as f from u),
 ft as (select rec_id, accession, feature, try_cast(f.location ->> '$.start.value' as int) as s, try_cast(f.location ->> '$.end.value' as int) as e from ef),
 sg as (select distinct src as accession, dst as chain_id, "start" as us, "end" as ue, case when ("start" + "end") % 2 = 0 then "start" + 100 else "end" + 100 end as ps, case when ("start" + "end") % 2 = 0 then "end" + 100 else "start" + 100 end as pe from hf),
-j as (select ft.*, chain_id, greatest(s, us) as lo, least(e, ue) as hi, us, ps, case when pe >= ps then 1 else -1 end as way from ft join sg using (accession) where s is not null and e is not null and s <= ue and e >= us)
+j as (select ft.*, chain_id, greatest(s, us) as lo, least(e, ue) as hi, us, ps, case when pe >= ps then 1 else -1 end as way from ft join sg using (accession) where s > 0 and e >= s and s <= ue and e >= us)
 select rec_id, accession, feature, chain_id, least(ps + way * (lo - us), ps + way * (hi - us)) as lo, greatest(ps + way * (lo - us), ps + way * (hi - us)) as hi from j
 """
 
@@ -708,6 +750,58 @@ def interval_overlap_project(spark, sf):
     return interval.project_features(entry_features(spark, sf), segments, ["accession"]).select("rec_id", "accession", "feature", "chain_id", "lo", "hi")
 
 
+_SQL_MANIFEST = f"""
+with {_SQL_FEATURE}, {_SQL_PROTEIN},
+u as (select distinct primaryAccession as accession, unnest(range(len(features)))::int as feature, unnest(features) as f from (select primaryAccession, features from uniprot_entry where primaryAccession is not null)),
+planted as (select accession, 9000 as feature, 0 as s, 60 as e from protein union all select accession, 9001, 60, 40 from protein union all select accession, 9002, 30, 70 from protein),
+ft as (select distinct * from (select accession, feature, try_cast(f.location ->> '$.start.value' as int) as s, try_cast(f.location ->> '$.end.value' as int) as e from u union all select * from planted) where s is not null and e is not null),
+sg as (select distinct src as accession, case when "start" <= 50 then 'A' else 'B' end as chain_id, "start" as us, "end" as ue from hf),
+rng as (select ft.*, chain_id, greatest(s, us) as lo, least(e, ue) as hi from ft join sg using (accession) where s > 0 and e >= s and s <= ue and e >= us),
+atom as (select accession, unnest(range(1, length(sequence) + 1))::int as i from protein where length(sequence) > 0),
+hit as (select distinct accession, feature, s, e, i from rng join atom using (accession) where i between lo and hi and chain_id = case when i <= 50 then 'A' else 'B' end),
+mapped as (select accession, feature, s, e, count(*) as n_atoms from hit group by all),
+tag as (select accession, feature, s, e, string_agg(distinct chain_id, '_' order by chain_id) as tag from rng group by all),
+plain as (select accession, feature, s, e, count(*) as n_atoms from ft anti join mapped using (accession, feature, s, e) join atom using (accession) where s > 0 and i between s and e group by all),
+m as (select accession, feature, s, e, 'mapped' as kind, tag, n_atoms from mapped join tag using (accession, feature, s, e) union all select accession, feature, s, e, 'plain', '', n_atoms from plain)
+select accession, feature, s as "start", e as "end", kind, n_atoms, 'feature_' || feature || '_' || s || '_' || e || case kind when 'mapped' then '_pdb_' || trim(regexp_replace(accession, '[^A-Za-z0-9._-]+', '_', 'g'), '_') || '_chain_' || tag else '' end || '.pdb' as filename from m
+"""
+
+
+@query(_SQL_MANIFEST)
+def structure_manifest(spark, sf):
+    """The slice of each location of a feature from its protein's made structure, beside planted locations that lie on nothing."""
+    e = feature_edges(spark, sf).drop("model").distinct()
+    chain = F.when(F.col("start") <= 50, "A").otherwise("B")
+    segs = e.select(F.col("src").alias("accession"), F.col("src").alias("structure"), chain.alias("chain_id"), F.col("start").alias("unp_start"), F.col("end").alias("unp_end"), F.col("start").alias("pdb_start"), F.col("end").alias("pdb_end")).distinct()
+    known = proteins(spark, sf).select("accession")
+    planted = F.array(*(F.struct(F.lit(9000 + k).alias("feature"), F.lit(s).alias("start"), F.lit(t).alias("end")) for k, (s, t) in enumerate(((0, 60), (60, 40), (30, 70)))))
+    features = entry_features(spark, sf).select("accession", "feature", "start", "end").unionByName(known.select("accession", F.explode(planted).alias("p")).select("accession", "p.*"))
+    structures = known.select("accession", F.col("accession").alias("structure"), F.lit(1).alias("place"))
+    found = interval.structure_manifest(features, structures, segs, structure_lines(spark, sf))
+    return interval.slice_names(found).select("accession", "feature", "start", "end", "kind", "n_atoms", "filename")
+
+
+@query("""
+with p as (select distinct rec_id, primaryAccession as accession, sequence.length as n from uniprot_entry where primaryAccession is not null and sequence.length > 9),
+s as (select rec_id, accession, 'A' as chain_id, 1 as unp_start, n // 2 as unp_end, 11 as pdb_start, n // 2 + 10 as pdb_end, 0 as k from p union all select rec_id, accession, 'B', n // 2 + 1, n, n // 2 + 1, n, 1 from p)
+select rec_id, '1ABC' as structure, accession, chain_id, unp_start::int as unp_start, unp_end::int as unp_end, pdb_start::int as pdb_start, pdb_end::int as pdb_end from s
+""")
+def sifts_segments(spark, sf):
+    """Segments read back from mapping payloads made of the entries, in every field a bound may stand in, beside segments that lack one or a chain."""
+    u = table(spark, sf, "uniprot_entry").select("rec_id", F.col("primaryAccession").alias("accession"), F.col("sequence.length").alias("n")).where("accession is not null and n > 9").distinct()
+    half = F.floor(F.col("n") / 2).cast("int")
+    none = F.lit(None).cast("int")
+    at = lambda author, label: F.struct(author.alias("author_residue_number"), label.alias("residue_number"))
+    part = lambda chain, us, ue, us2, ue2, start, end: F.struct(F.lit(chain).alias("chain_id"), us.alias("unp_start"), ue.alias("unp_end"), us2.alias("unp_start_residue_number"), ue2.alias("unp_end_residue_number"), start.alias("start"), end.alias("end"))
+    one = F.lit(1)
+    mappings = F.array(
+        part("A ", one, half, none, none, at(F.lit(11), one), at(half + 10, half)), part("B", none, none, half + 1, F.col("n"), at(F.lit(0), half + 1), at(none, F.col("n"))),
+        part("", one, half, none, none, at(one, one), at(half, half)), part("C", one, none, none, none, at(one, one), at(none, none)),
+    )
+    payload = F.to_json(F.create_map(F.lit("1abc"), F.create_map(F.lit("UniProt"), F.create_map(F.col("accession"), F.struct(mappings.alias("mappings"))))))
+    return u.select("rec_id", F.explode(interval.mapping_segments(payload)).alias("s")).select("rec_id", "s.*")
+
+
 def structure_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Fixed-width atom lines, one per residue of each protein, on chain A up to residue 50 and B after it."""
     p = proteins(spark, sf).where("length(sequence) > 0").select(F.col("accession").alias("structure"), F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("line_no"))
@@ -735,9 +829,18 @@ def enrichment_counts(spark, sf):
     return enrich.enrichment(*annotation_rows(spark, sf)).select("category", "term", "number_of_genes_in_background", "number_of_genes")
 
 
-@query()
+@query(f"""
+with {_SQL_SET}, size as (select category, count(distinct gene) as big_n, count(distinct case when gene in (select gene from inset) then gene end) as n from ann group by category),
+t as (select category, term, count(distinct gene) as big_k, count(distinct case when gene in (select gene from inset) then gene end) as k from ann group by category, term having k > 0),
+x as (select category, term, k, big_k, n, big_n, unnest(range(greatest(k, n - (big_n - big_k)), least(n, big_k) + 1)) as i from t join size using (category)),
+p as (select category, term, k, big_k, least(1, sum(exp(lgamma(big_k + 1) - lgamma(i + 1) - lgamma(big_k - i + 1) + lgamma(big_n - big_k + 1) - lgamma(n - i + 1) - lgamma(big_n - big_k - n + i + 1)
+  - lgamma(big_n + 1) + lgamma(n + 1) + lgamma(big_n - n + 1)))) as p from x group by all),
+r as (select *, row_number() over (partition by category order by p) as rk, count(*) over (partition by category) as m from p)
+select category, term, k as number_of_genes, big_k as number_of_genes_in_background, round(p, 7) as p_value, round(least(1, min(p * m / rk) over (partition by category order by rk desc rows unbounded preceding)), 7) as fdr from r
+""")
 def enrichment(spark, sf):
-    return enrich.enrichment(*annotation_rows(spark, sf)).drop("input_genes")
+    found = enrich.enrichment(*annotation_rows(spark, sf))
+    return found.select("category", "term", "number_of_genes", "number_of_genes_in_background", F.round("p_value", 7).alias("p_value"), F.round("fdr", 7).alias("fdr"))
 
 
 @query("""

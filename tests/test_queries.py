@@ -5,8 +5,8 @@ import __spark_entry__
 
 SF = "/root/testdata/sf0.001"
 
-#: Every core query runs on the smallest tables; some of them are held against their SQL twin here, all by the driver.
-CHECKED = ("p1_found", "p1_annotation_summary", "p2_found", "p3_found", "p3_orphan_counts", "merge_last_wins_go", "growth_cumulative", "flatfile_sections", "interval_overlap_project", "xref_filter_transform")
+#: Queries held against their SQL twin on the smallest tables.
+CHECKED = ("p1_found", "p1_annotation_summary", "p2_found", "p3_found", "p3_orphan_counts", "merge_last_wins_go", "growth_cumulative", "flatfile_sections", "interval_overlap_project", "xref_filter_transform", "structure_manifest", "sifts_segments", "merge_node_placeholder_fill", "context_counts")
 
 
 @pytest.fixture(scope="module")
