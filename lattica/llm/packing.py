@@ -196,6 +196,7 @@ def fill(sizes: Iterator[int], capacity: int, windows: tuple[int, ...] = WINDOWS
 
 
 def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pack the rows (pack_id, capacity, doc_id, n_tokens and what else is to come along) of one range of the curve."""
     part = TaskContext.get().partitionId()
 
     def runs() -> Iterator[tuple[int, int, Iterator]]:
@@ -218,10 +219,10 @@ def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch:
         columns = list(zip(*out))
-        kinds = [pa.int32(), pa.string(), None, pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * DIMENSIONS]
+        kinds = [pa.int32(), pa.string(), None, pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * (len(columns) - 6)]
         arrays = [pa.array(c, k) if k else pa.array(c) for c, k in zip(columns, kinds)]
         out.clear()
-        return pa.RecordBatch.from_arrays(arrays, ["pack_id", "container_id", "doc_id", "piece_no", "first_token", "n_tokens", *_PLACE])
+        return pa.RecordBatch.from_arrays(arrays, ["pack_id", "container_id", "doc_id", "piece_no", "first_token", "n_tokens", *_PLACE[: len(columns) - 6]])
 
     for pack, capacity, rows in runs():
         full = 0
@@ -256,11 +257,16 @@ def packed(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCABULARY, patt
     Capacities that are null or below 1 are left out. An empty table on either side gives no rows. vocabulary is read on
     the driver and sent to the tasks.
     """
-    return packed_with_place(docs, packs, vocabulary, pattern).drop(*_PLACE)
+    return _packed(docs, packs, vocabulary, pattern, [])
 
 
 def packed_with_place(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """packed, with the coordinates of the text's vector (x0, x1, ...)."""
+    return _packed(docs, packs, vocabulary, pattern, _PLACE)
+
+
+def _packed(docs: DataFrame, packs: DataFrame, vocabulary: str, pattern: str, along: list[str]) -> DataFrame:
+    """packed, with the coordinates named in `along`; others do not travel."""
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())
@@ -271,7 +277,7 @@ def packed_with_place(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCAB
     spread = measured.agg(*(f(x) for x in _PLACE for f in (F.avg, F.stddev_pop))).first()
     mean, width = np.array([spread[2 * k] or 0.0 for k in range(DIMENSIONS)]), np.array([spread[2 * k + 1] or 1.0 for k in range(DIMENSIONS)])
     keyed = measured.mapInArrow(_keyer(mean, width), f"doc_id {kind}, n_tokens int, curve bigint, {coordinates}")
-    schema = f"pack_id int, container_id string, doc_id {kind}, piece_no int, first_token int, n_tokens int, {coordinates}"
+    schema = ", ".join([f"pack_id int, container_id string, doc_id {kind}, piece_no int, first_token int, n_tokens int", *(f"{x} double" for x in along)])
     rows = packs.select(F.col("pack_id").cast("int"), F.col("capacity_tokens").cast("int")).where("capacity_tokens >= 1 and pack_id is not null").distinct()
     every, some = spark.createDataFrame([], schema), []
 
@@ -279,9 +285,9 @@ def packed_with_place(docs: DataFrame, packs: DataFrame, vocabulary: str = VOCAB
         nonlocal every
         if some:
             targets = F.array(*(F.struct(F.lit(p).alias("pack_id"), F.lit(c).alias("capacity")) for p, c in sorted(some)))
-            each = keyed.select("*", F.explode(targets).alias("t")).select("t.pack_id", "t.capacity", "doc_id", "n_tokens", "curve", *_PLACE)
+            each = keyed.select("doc_id", "n_tokens", "curve", *along, F.explode(targets).alias("t")).select("t.pack_id", "t.capacity", "doc_id", "n_tokens", "curve", *along)
             placed = each.repartitionByRange("pack_id", "curve", "doc_id").sortWithinPartitions("pack_id", "capacity", "curve", "doc_id")
-            every = every.unionByName(placed.select("pack_id", "capacity", "doc_id", "n_tokens", *_PLACE).mapInArrow(_packer, schema))
+            every = every.unionByName(placed.select("pack_id", "capacity", "doc_id", "n_tokens", *along).mapInArrow(_packer, schema))
             some.clear()
 
     for row in rows.toLocalIterator():
