@@ -61,8 +61,13 @@ def complete(df: DataFrame, function: Completion = offline, column: str = "messa
 
 def describe(contexts: DataFrame, function: Completion = offline, files: DataFrame | None = None) -> DataFrame:
     """(accession, prompt, messages, completion) for contexts (accession, context); a context without a protein is an error at that row."""
+    return describe_sampled(contexts.withColumn("context", prompt_context(F.col("context"))), function, files)
+
+
+def describe_sampled(contexts: DataFrame, function: Completion = offline, files: DataFrame | None = None) -> DataFrame:
+    """describe, for contexts of which only the counts and samples that a prompt shows are there."""
     found = contexts if files is None else contexts.join(files, "accession", "left")
     manifest = F.col("files") if files is not None else F.lit(None).cast("array<string>")
     known = found.withColumn("context", F.when(F.col("context.protein").isNotNull(), F.col("context")).otherwise(F.raise_error(F.concat(F.lit("not in the graph: "), "accession")).cast(found.schema["context"].dataType)))
-    prompted = known.select("accession", user_prompt(F.col("accession"), prompt_context(F.col("context")), manifest).alias("prompt"))
+    prompted = known.select("accession", user_prompt(F.col("accession"), F.col("context"), manifest).alias("prompt"))
     return complete(prompted.withColumn("messages", messages(F.col("prompt"))), function)

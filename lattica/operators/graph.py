@@ -7,10 +7,11 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lattica.functions.records import string_pair
+from lattica.functions.text import LINK_SAMPLE, SAMPLES
 from lattica.operators.merge import merge, with_endpoints
 from lattica.schemas import EDGES, NODES, edge_schema, node_schema
 
@@ -193,40 +194,68 @@ def context_counts(graph: PropertyGraph, members: DataFrame) -> DataFrame:
     return found.select("accession", *(F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for *_, name in parts))
 
 
-def context(graph: PropertyGraph, members: DataFrame) -> DataFrame:
-    """(accession, context) of every member; context holds the protein, its features, terms and articles and the edges to them.
-
-    All members are answered in one job: a chain of joins per list, grouped once. A feature is repeated per location, as
-    there is one edge per location. A member that is not in the graph has a null protein and empty lists.
-    """
-    m = members.select("accession").distinct()
-    protein = graph.nodes("Protein")
-    asked = m.withColumnRenamed("accession", "src")
+#: Columns of the entries of a context's lists.
+ENTRIES = {
+    "features": "dst name source_database type integrated", "feature_relationships": "dst start end score model", "go_terms": "dst name aspect definition is_obsolete",
+    "go_relationships": "dst qualifier evidence_code eco_code reference assigned_by is_experimental", "cited_in": "dst", "feature_evidenced_by": "feature dst",
+}
 
-    def listed(df: DataFrame, **parts: str) -> DataFrame:
-        """Per src the sorted list of structs for each part; rows of one (src, edge) stay apart."""
-        return df.groupBy("src").agg(*(F.array_sort(F.collect_list(F.struct(*cols.split()))).alias(name) for name, cols in parts.items()))
 
+def context_rows(graph: PropertyGraph, members: DataFrame) -> dict[str, DataFrame]:
+    """The entries of every list of the members' contexts, one row each with the member as src; articles as (src, dst, group), the cited ones in group 0."""
+    asked = members.select(F.col("accession").alias("src")).distinct()
     features = graph.edges("HAS_FEATURE").join(asked, "src", "left_semi").join(graph.nodes("ProteinFeature").withColumnRenamed("accession", "dst"), "dst")
     terms = graph.edges("HAS_GO_ANNOTATION").drop("go_id").join(asked, "src", "left_semi").join(graph.nodes("GOTerm").withColumnRenamed("go_id", "dst"), "dst")
-    article = graph.nodes("PubMedArticle")
-    stored = article.select(F.col("pmid").alias("dst"))
+    stored = graph.nodes("PubMedArticle").select(F.col("pmid").alias("dst"))
     cited = graph.edges("CITED_IN").join(asked, "src", "left_semi").join(stored, "dst", "left_semi")
     chain = graph.edges("HAS_FEATURE").join(asked, "src", "left_semi").select("src", F.col("dst").alias("feature"))
     evidence = chain.join(graph.edges("EVIDENCED_BY").select(F.col("src").alias("feature"), "dst"), "feature").join(stored, "dst", "left_semi")
-    # each article once per protein before its properties come in, the cited ones first
+    # each article once per protein, the cited ones first
     met = cited.select("src", "dst", F.lit(0).alias("group")).unionByName(evidence.select("src", "dst", F.lit(1).alias("group"))).groupBy("src", "dst").agg(F.min("group").alias("group"))
-    named = met.where("coalesce(btrim(dst), '') <> ''").join(article.select(F.col("pmid").alias("dst"), F.struct(*article.columns).alias("article")), "dst")
-    found = (
-        m.join(protein.select("accession", F.struct(*protein.columns).alias("protein")), "accession", "left")
-        .join(listed(features, features="dst name source_database type integrated", feature_relationships="dst start end score model").withColumnRenamed("src", "accession"), "accession", "left")
-        .join(listed(terms, go_terms="dst name aspect definition is_obsolete", go_relationships="dst qualifier evidence_code eco_code reference assigned_by is_experimental").withColumnRenamed("src", "accession"), "accession", "left")
-        .join(listed(cited, cited_in="dst").withColumnRenamed("src", "accession"), "accession", "left")
-        .join(listed(evidence, feature_evidenced_by="feature dst").withColumnRenamed("src", "accession"), "accession", "left")
-        .join(listed(named, articles="group dst article").withColumnRenamed("src", "accession"), "accession", "left")
-    )
-    lists = ["features", "feature_relationships", "go_terms", "go_relationships", "cited_in", "feature_evidenced_by", "articles"]
-    found = found.withColumns({c: F.coalesce(F.col(c), F.array().cast(found.schema[c].dataType)) for c in lists})
+    rows = {"features": features, "feature_relationships": features, "go_terms": terms, "go_relationships": terms, "cited_in": cited, "feature_evidenced_by": evidence}
+    return {name: df.select("src", *ENTRIES[name].split()) for name, df in rows.items()} | {"articles": met.where("coalesce(btrim(dst), '') <> ''")}
+
+
+def context(graph: PropertyGraph, members: DataFrame) -> DataFrame:
+    """(accession, context) of every member; context holds the protein, its features, terms and articles and the edges to them.
+
+    All members are answered in one job: a chain of joins per list, grouped once. A feature is repeated per location, as
+    there is one edge per location. A member that is not in the graph has a null protein and empty lists. The lists are
+    whole; for many members, of which some have very long lists, sampled_context holds what a prompt shows of them.
+    """
+    m = members.select("accession").distinct()
+    protein, article = graph.nodes("Protein"), graph.nodes("PubMedArticle")
+    rows = context_rows(graph, m)
+    rows["articles"] = rows["articles"].join(article.select(F.col("pmid").alias("dst"), F.struct(*article.columns).alias("article")), "dst")
+    found = m.join(protein.select("accession", F.struct(*protein.columns).alias("protein")), "accession", "left")
+    for name, df in rows.items():
+        entry = F.struct(*ENTRIES.get(name, "group dst article").split())
+        found = found.join(df.groupBy(F.col("src").alias("accession")).agg(F.array_sort(F.collect_list(entry)).alias(name)), "accession", "left")
+    found = found.withColumns({c: F.coalesce(F.col(c), F.array().cast(found.schema[c].dataType)) for c in rows})
     articles = F.transform("articles", lambda a: a.getField("article"))
     links = F.struct("cited_in", "feature_evidenced_by").alias("article_relationships")
     return found.select("accession", F.struct("protein", "features", "feature_relationships", "go_terms", "go_relationships", articles.alias("articles"), links).alias("context"))
+
+
+def sampled_context(graph: PropertyGraph, members: DataFrame) -> DataFrame:
+    """(accession, context) as text.prompt_context makes it of whole contexts, without ever holding a whole list.
+
+    Entries are counted by groups, and the first ones of every list are chosen by a group limit before the shuffle, so a
+    protein with millions of them costs no more than others. Properties of articles are fetched for the chosen ones only.
+    """
+    m = members.select("accession").distinct()
+    protein, article = graph.nodes("Protein"), graph.nodes("PubMedArticle")
+    sizes = dict(SAMPLES) | {"cited_in": LINK_SAMPLE, "feature_evidenced_by": LINK_SAMPLE}
+    found = m.join(protein.select("accession", F.struct(*protein.columns).alias("protein")), "accession", "left")
+    for name, df in context_rows(graph, m).items():
+        columns = ENTRIES[name].split() if name in ENTRIES else ["dst"]
+        first = df.withColumn("place", F.row_number().over(Window.partitionBy("src").orderBy(*columns))).where(F.col("place") <= sizes[name])
+        entry = F.struct(*columns)
+        if name == "articles":
+            first = first.join(article.select(F.col("pmid").alias("dst"), F.struct(*article.columns).alias("article")), "dst")
+            entry = F.col("article")
+        found = found.join(first.groupBy(F.col("src").alias("accession")).agg(F.array_sort(F.collect_list(entry)).alias(name)), "accession", "left")
+        found = found.join(df.groupBy(F.col("src").alias("accession")).agg(F.count(F.lit(1)).cast("int").alias(f"n_{name}")), "accession", "left")
+    lists = {c: F.coalesce(F.col(c), F.array().cast(found.schema[c].dataType)) for c in sizes}
+    counts = F.struct(*(F.coalesce(f"n_{name}", F.lit(0)).alias(name) for name in sizes)).alias("counts")
+    return found.withColumns(lists).select("accession", F.struct("protein", counts, *sizes).alias("context"))

@@ -392,10 +392,10 @@ def context_counts(spark, sf):
 @query()
 def prompt_render(spark, sf):
     """A completion for every protein, by the offline stand-in."""
-    from lattica.operators.complete import describe
+    from lattica.operators.complete import describe_sampled
 
     g = small_graph(spark, sf)
-    return describe(g.context(g.accessions())).select("accession", F.length("prompt").alias("prompt_length"), "completion")
+    return describe_sampled(graph.sampled_context(g, g.accessions())).select("accession", F.length("prompt").alias("prompt_length"), "completion")
 
 
 @query(f"""

@@ -131,6 +131,26 @@ def test_context_of_known_and_unknown(spark):
         describe(g.context(nodes(spark, "no"))).collect()
 
 
+def test_sampled_contexts_are_those_of_whole_ones(spark):
+    from lattica.operators.complete import describe_sampled
+    from lattica.plans.graph_queries import small_graph
+
+    g = small_graph(spark, "/root/testdata/sf0.001")
+    rows = [("P", f"F{k % 30:03d}", k, k + 5) for k in range(70)] + [("Q", "F001", 1, 2)]
+    h = graph.PropertyGraph(spark)
+    h.merge_nodes("Protein", nodes(spark, "P", "Q", "R"))
+    h.merge_nodes("ProteinFeature", nodes(spark, *{r[1] for r in rows}))
+    h.merge_nodes("PubMedArticle", spark.createDataFrame([(str(k), f"title {k}") for k in range(60)], "pmid string, title string"))
+    h.merge_edges("HAS_FEATURE", spark.createDataFrame(rows, "src string, dst string, start int, end int"))
+    h.merge_edges("CITED_IN", spark.createDataFrame([("P", str(k)) for k in range(50)], "src string, dst string"))
+    h.merge_edges("EVIDENCED_BY", spark.createDataFrame([("F001", str(k)) for k in range(45, 60)], "src string, dst string"))
+    for one in (g, h):
+        whole = {r["accession"]: r["prompt"] for r in describe(one.context(one.accessions())).collect()}
+        assert whole and {r["accession"]: r["prompt"] for r in describe_sampled(graph.sampled_context(one, one.accessions())).collect()} == whole
+    unknown = graph.sampled_context(h, nodes(spark, "no")).first()["context"]
+    assert unknown["protein"] is None and unknown["features"] == [] and unknown["counts"]["articles"] == 0
+
+
 def test_prompts_hold_whole_articles(spark):
     from lattica.__main__ import network
 
