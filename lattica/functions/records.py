@@ -93,6 +93,26 @@ def definition_text(definition: Column) -> Column:
     return F.coalesce(F.try_variant_get(definition, "$.text", "string"), plain, F.lit(""))
 
 
+def go_term(term: Column) -> Column:
+    """A term given as a variant, with its defaults: struct<id, name, definition, definition_xrefs, aspect, is_obsolete, synonyms, comment, children>.
+
+    A definition is an object or plain text; synonyms that are no objects are left out; '' or [] stands for what is missing,
+    null for an aspect, a comment or a definition that is not given.
+    """
+    get = lambda path, kind="string": F.try_variant_get(term, path, kind)
+    text = lambda v, path: F.coalesce(F.try_variant_get(v, path, "string"), F.lit(""))
+    listed = lambda path: F.coalesce(get(path, "array<variant>"), F.array().cast("array<variant>"))
+    found = get("$.definition", "variant")
+    given = found.isNotNull() & (F.schema_of_variant(found) != "VOID")
+    objects = F.filter(listed("$.synonyms"), lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT")))
+    return F.struct(
+        text(term, "$.id").alias("id"), text(term, "$.name").alias("name"), F.nullif(F.when(given, definition_text(found)), F.lit("")).alias("definition"),
+        F.coalesce(get("$.definition.xrefs", "array<string>"), F.array().cast("array<string>")).alias("definition_xrefs"), get("$.aspect").alias("aspect"),
+        F.coalesce(get("$.isObsolete", "boolean"), F.lit(False)).alias("is_obsolete"), F.transform(objects, lambda v: F.struct(text(v, "$.name").alias("name"), text(v, "$.type").alias("type"))).alias("synonyms"),
+        get("$.comment").alias("comment"), F.transform(listed("$.children"), lambda v: text(v, "$.id")).alias("children"),
+    )
+
+
 # ---- interactions
 
 
@@ -135,9 +155,24 @@ def citation(authors: Column, title: Column, abbreviation: Column, journal: Colu
     return F.concat(names, more, F.lit(". "), text(title), F.lit(". "), where, F.lit(". "), text(year), F.lit("."))
 
 
+def pubmed_url(number: Column) -> Column:
+    return url(ARTICLE_PAGE, number, "/")
+
+
 # ---- structures and predictions
 
 
+def polymer(entity: Column) -> Column:
+    """(uniprot_ids, sequence) of a polymer entity; [] and null where it does not say."""
+    ids = entity.getField("rcsb_polymer_entity_container_identifiers").getField("uniprot_ids")
+    return F.struct(F.coalesce(ids, F.array().cast("array<string>")).alias("uniprot_ids"), entity.getField("entity_poly").getField("pdbx_seq_one_letter_code_can").alias("sequence"))
+
+
+def ligand(entity: Column) -> Column:
+    """(ligand_id, ligand_name) of a non-polymer entity given as a variant; null where it does not say."""
+    return F.struct(F.try_variant_get(entity, "$.pdbx_entity_nonpoly.comp_id", "string").alias("ligand_id"), F.try_variant_get(entity, "$.chem_comp.name", "string").alias("ligand_name"))
+
+
 # Addresses of public structure files.
 STRUCTURE_PAGE, STRUCTURE_FILE = "https://www.rcsb.org/structure/", "https://files.rcsb.org/download/"
 PREDICTION_FILE, ARTICLE_PAGE = "https://alphafold.ebi.ac.uk/files/", "https://pubmed.ncbi.nlm.nih.gov/"

@@ -105,7 +105,7 @@ def structure_properties(proteins: DataFrame, structures: DataFrame | None, pred
 
 def article_table(articles: DataFrame, full_texts: DataFrame | None = None) -> DataFrame:
     """Delivered articles with pubmed_url and, by their pmc, full_text ('' without)."""
-    named = articles.withColumn("pubmed_url", records.url(records.ARTICLE_PAGE, F.col("pmid"), "/"))
+    named = articles.withColumn("pubmed_url", records.pubmed_url(F.col("pmid")))
     if full_texts is None or "pmc" not in articles.columns:
         return named
     texts = full_texts.where("pmc is not null").groupBy("pmc").agg(F.max("full_text").alias("full_text"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import count
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.operators.graph import undirected
@@ -62,7 +62,7 @@ def closed_trails(both: DataFrame, base: DataFrame, max_hops: int) -> DataFrame:
     return found.groupBy("start").agg(F.min("hops").alias("hops")).select("start", F.col("start").alias("accession"), "hops")
 
 
-def numbered(df: DataFrame, order: list[str], name: str, after: int = 0) -> tuple[DataFrame, int]:
+def numbered(df: DataFrame, order: list[str | Column], name: str, after: int = 0) -> tuple[DataFrame, int]:
     """df with its rows numbered in order from after + 1 on, and their number; a lost task gives the same numbers again.
 
     The rows are sorted into ranges and written; each range is numbered by itself and shifted by the rows of the ranges

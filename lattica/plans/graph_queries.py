@@ -13,6 +13,8 @@ from lattica.operators import enrich, graph, growth, interval, merge, traverse
 from lattica.plans.core_problems import _FRAGMENTS, _PRODUCT, _VALID, _fold, _trim, domain_fragments, pathway_gene, product_id, pubmed_numbers, valid_score
 from lattica.schemas import edge_schema, node_schema
 from lattica.session import folded_id, staging_path, table, trimmed
+from lattica.sources.lookups import MATCH_DATABASES as DATABASES
+from lattica.sources.lookups import all_matches, match_terms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -638,9 +640,6 @@ def json_members(spark, sf):
     return r.select("rec_id", "n1", get("accession").alias("accession"), get("source_database").alias("source_database"), get("integrated").alias("integrated"), F.coalesce(F.array_join(go, " "), F.lit("")).alias("go_terms"))
 
 
-DATABASES = ("interpro", "pfam", "smart", "prosite")
-
-
 @query("""
 with b as (select distinct rec_id, accession, payload from interpro_match where payload is not null and json_valid(payload)),
 r as (select rec_id, accession as protein, unnest(json_extract(payload, '$.results[*]')) as x, unnest(range(len(json_extract(payload, '$.results[*]'))))::int as n1 from b),
@@ -649,11 +648,28 @@ select rec_id, protein, entry, name from d where place is not null and entry is
 """)
 def matches_first_wins(spark, sf):
     """The entries of a page from four databases, in their order; the first of one accession counts."""
+    found = all_matches(match_results(spark, sf), ["rec_id", "protein"], DATABASES)
+    return found.select("rec_id", "protein", "entry", "name")
+
+
+def match_results(spark: SparkSession, sf: str) -> DataFrame:
+    """(rec_id, protein, place, database, entry, name, terms) of every result of every page."""
     m = table(spark, sf, "interpro_match").select("rec_id", F.col("accession").alias("protein"), "payload").distinct()
-    r = m.select("rec_id", "protein", F.posexplode(F.try_variant_get(parsed(F.col("payload")), "$.results", "array<variant>")).alias("n1", "x"))
-    get = lambda p: F.try_variant_get("x", f"$.metadata.{p}", "string")
-    d = r.select("rec_id", "protein", get("accession").alias("entry"), F.array_position(F.array(*map(F.lit, DATABASES)), get("source_database")).alias("place"), "n1", get("name").alias("name"))
-    return d.where("place > 0 and entry is not null").groupBy("rec_id", "protein", "entry").agg(F.min_by("name", F.struct("place", "n1")).alias("name"))
+    r = m.select("rec_id", "protein", F.posexplode(F.try_variant_get(parsed(F.col("payload")), "$.results", "array<variant>")).alias("place", "x"))
+    get = lambda p, kind="string": F.try_variant_get("x", f"$.metadata.{p}", kind)
+    terms = F.transform(get("go_terms", "array<variant>"), lambda t: F.struct(F.try_variant_get(t, "$.identifier", "string").alias("identifier"), F.try_variant_get(t, "$.name", "string").alias("name")))
+    return r.select("rec_id", "protein", "place", get("source_database").alias("database"), get("accession").alias("entry"), get("name").alias("name"), terms.alias("terms"))
+
+
+@query("""
+with b as (select distinct rec_id, payload from interpro_match where payload is not null and json_valid(payload)),
+r as (select rec_id, unnest(json_extract(payload, '$.results[*]')) as x, unnest(range(len(json_extract(payload, '$.results[*]'))))::int as place from b),
+t as (select rec_id, place, unnest(json_extract(x, '$.metadata.go_terms[*]')) as t, unnest(range(len(json_extract(x, '$.metadata.go_terms[*]')))) as pos from r)
+select rec_id, t ->> '$.identifier' as identifier, max_by(t ->> '$.name', place * 1000 + pos) as name from t where t ->> '$.identifier' is not null group by all
+""")
+def terms_of_matches(spark, sf):
+    """The terms that the matches of a page bring along; of repeated ones the last name counts."""
+    return match_terms(match_results(spark, sf), ["rec_id"])
 
 
 @query("""

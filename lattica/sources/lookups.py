@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.functions.records import first
-from lattica.operators.traverse import closure
+from lattica.operators.traverse import closure, numbered
 
 #: The evidence term under which all experimental evidence stands, and the kinds of edges that descend to it.
 EXPERIMENTAL_EVIDENCE = "ECO:0000269"
@@ -101,29 +101,49 @@ def genes_entries(conversions: DataFrame, entries: DataFrame, accessions: DataFr
     return a.join(conversions.select("accession", "gene_id"), "accession", "left").join(entries.select(F.col("entry_id").alias("gene_id"), "raw"), "gene_id", "left").select("accession", "gene_id", "raw")
 
 
+#: Databases of domain matches, in the order in which their entries count.
+MATCH_DATABASES = ("interpro", "pfam", "smart", "prosite")
+
+
+def all_matches(results: DataFrame, keys: list[str], databases: tuple[str, ...] = MATCH_DATABASES) -> DataFrame:
+    """One row per protein (keys) and entry over the pages of several databases: of equal entries the first, by the order of the databases and the place in the page.
+
+    results has the keys, database, place, entry and any more columns, which stay. Entries of other databases and without
+    an accession are left out; a database without rows is a page that failed and changes nothing for the others.
+    """
+    rank = F.array_position(F.array(*map(F.lit, databases)), F.col("database"))
+    first_of = Window.partitionBy(*keys, "entry").orderBy("__lt_rank", "place")
+    known = results.withColumn("__lt_rank", rank).where("__lt_rank > 0 and entry is not null")
+    return known.withColumn("__lt_n", F.row_number().over(first_of)).where("__lt_n = 1").drop("__lt_n", "__lt_rank")
+
+
+def match_terms(results: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, identifier, name) of the terms of all matches of a protein: of repeated terms the name that comes last. results has the keys, place and terms (array of identifier and name)."""
+    each = results.select(*keys, "place", F.posexplode("terms").alias("pos", "t")).where("t.identifier is not null")
+    return each.groupBy(*keys, F.col("t.identifier").alias("identifier")).agg(F.max_by("t.name", F.struct("place", "pos")).alias("name"))
+
+
 def named_pathways(links: DataFrame, pathways: DataFrame) -> DataFrame:
     """(id, pathway, name): pathway links with names from a list (id, value); a pathway without one keeps its id."""
     names = pathways.select(F.col("id").alias("pathway"), F.col("value").alias("found"))
     return links.select("id", F.col("linked").alias("pathway")).join(names, "pathway", "left").select("id", "pathway", F.coalesce("found", "pathway").alias("name"))
 
 
-#: Most numbers that one search gives, as the service has it.
-MOST_NUMBERS = 10_000
-
-
-def article_search(articles: DataFrame, condition: Column, max_results: int = 20, years: tuple[int, int] | None = None, order: str = "year") -> DataFrame:
-    """(pmid, place): articles that meet a condition, published within years, the latest first."""
+def article_search(articles: DataFrame, condition: Column, max_results: int = 20, years: tuple[int, int] | None = None, order: str = "year", most: int | None = None) -> DataFrame:
+    """(pmid, place): the max_results articles that meet a condition, published within years, the latest first. A service's own bound, `most`, is an error to go beyond."""
+    if most is not None and max_results > most:
+        raise ValueError(f"{max_results} results asked for, {most} are given at most")
     year = F.regexp_extract("year", r"(\d{4})", 1).try_cast("int")
     found = articles.where(condition)
     if years:
         found = found.where(year.between(*years))
     key = year.desc_nulls_last() if order == "year" else F.col(order)
-    top = found.orderBy(key, "pmid").limit(min(max_results, MOST_NUMBERS))
-    return top.select("pmid", F.row_number().over(Window.orderBy(key, "pmid")).alias("place"))  # at most MOST_NUMBERS rows
+    top = found.orderBy(key, "pmid").limit(max_results)
+    return numbered(top, [key, "pmid"], "place")[0].select("pmid", F.col("place").cast("int").alias("place"))
 
 
-def full_text(texts: DataFrame, articles: DataFrame, limit: int = 100_000) -> DataFrame:
-    """(pmid, full_text): full texts (pmc, text) of articles (pmid, pmc), whose number may lack its prefix; empty ones are left out."""
+def full_text(texts: DataFrame, articles: DataFrame, limit: int | None = None) -> DataFrame:
+    """(pmid, full_text): full texts (pmc, text) of articles (pmid, pmc), whose number may lack its prefix; empty ones are left out. Whole, unless a limit is given."""
     number = F.concat(F.lit("PMC"), F.regexp_replace("pmc", "^PMC", ""))
     a = articles.where("pmc is not null and pmc <> ''").select("pmid", number.alias("pmc"))
-    return a.join(texts.where("text is not null and text <> ''"), "pmc").select("pmid", F.substring("text", 1, limit).alias("full_text"))
+    return a.join(texts.where("text is not null and text <> ''"), "pmc").select("pmid", (F.col("text") if limit is None else F.substring("text", 1, limit)).alias("full_text"))

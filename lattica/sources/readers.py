@@ -99,7 +99,7 @@ FIELDS = {"accession": "primaryAccession", "gene": "gene_name", "organism_id": "
 def where(query: str, reviewed_only: bool = False) -> Column:
     """`field:value AND field:value` as a condition on entries with gene_name and is_reviewed; unknown fields are an error."""
     condition = F.lit(True)
-    for part in query.replace("(", " ").replace(")", " ").split(" AND "):
+    for part in filter(str.strip, query.replace("(", " ").replace(")", " ").split(" AND ")):
         name, _, value = part.strip().partition(":")
         if name not in FIELDS:
             raise ValueError(f"cannot search by {name}")
@@ -108,6 +108,21 @@ def where(query: str, reviewed_only: bool = False) -> Column:
     return condition & F.col("is_reviewed") if reviewed_only else condition
 
 
+def search(entries: DataFrame, query: str, fields: list[str] | None = None, reviewed_only: bool = False, words: str = "search_text") -> DataFrame:
+    """Entries that meet a query, with the columns of `fields` (all without). A query is `field:value` parts and free words, joined by AND or blanks.
+
+    Free words are looked for in the column `words`, in any case; fields are those of `where`. All hits come, in no order;
+    paging is left to the reader of the result.
+    """
+    plain = query.replace("(", " ").replace(")", " ").replace(" AND ", " ")
+    named = [x for x in plain.split() if ":" in x]
+    free = [x.lower() for x in plain.split() if ":" not in x]
+    found = entries.where(where(" AND ".join(named), reviewed_only)) if named or reviewed_only else entries
+    for word in free:
+        found = found.where(F.contains(F.lower(words), F.lit(word)))
+    return found.select(*fields) if fields else found
+
+
 def keyword_hits(terms: DataFrame, query: str, limit: int = 25) -> DataFrame:
     """Terms (id, name) by the number of words of the query in their name; those without any are left out."""
     asked = F.array(*(F.lit(w) for w in sorted({w for w in query.lower().split()})))

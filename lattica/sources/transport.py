@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 
 RETRIED = (500, 502, 503, 504)
 
@@ -46,6 +48,73 @@ SERVICES: dict[str, Limits] = {
 }
 
 
+# Base addresses of the public services.
+ADDRESSES = {
+    "uniprot": "https://rest.uniprot.org", "interpro": "https://www.ebi.ac.uk/interpro/api", "string": "https://string-db.org/api", "go": "https://www.ebi.ac.uk/QuickGO/services",
+    "alphafold": "https://alphafold.ebi.ac.uk/api", "pdb": "https://data.rcsb.org/rest/v1", "pubmed": "https://eutils.ncbi.nlm.nih.gov/entrez/eutils", "kegg": "https://rest.kegg.jp",
+}
+
+#: What stands between the ids of one request.
+JOINED_BY = {"string": "\r\n", "go": ",", "pubmed": ",", "kegg": "+"}
+
+
+@dataclass(frozen=True)
+class Service:
+    """How one service is asked: its base address, and who asks. limits: those of the service unless given."""
+
+    name: str
+    address: str = ""
+    tool: str = "lattica"
+    email: str | None = None
+    api_key: str | None = None
+    own_limits: Limits | None = None
+
+    @property
+    def limits(self) -> Limits:
+        return self.own_limits or limits(self.name, self.api_key)
+
+    def url(self, path: str) -> str:
+        return f"{(self.address or ADDRESSES[self.name]).rstrip('/')}/{path.lstrip('/')}"
+
+    def parameters(self, **more: object) -> dict[str, str]:
+        """Parameters of a request with those that say who asks, where the service takes them; None is left out."""
+        own: dict[str, object] = {}
+        if self.name == "string":
+            own = {"caller_identity": self.tool}
+        if self.name == "pubmed":
+            own = {"tool": self.tool, "email": self.email, "api_key": self.api_key}
+        return {k: str(v) for k, v in (own | more).items() if v is not None}
+
+    def joined(self, ids: Iterable[str]) -> str:
+        """Many ids as the value of one parameter."""
+        return JOINED_BY.get(self.name, ",").join(ids)
+
+
+def text(requester: Requester, address: str, parameters: Mapping[str, str] | None = None) -> str:
+    """The body of an answer as text; bytes that are no UTF-8 are replaced."""
+    return requester.get(address, parameters).body.decode("utf-8", "replace")
+
+
+def version(requester: Requester, service: Service) -> dict:
+    """What the interaction service says of its release; {} where it gives an empty list."""
+    found = json.loads(text(requester, service.url("json/version"), service.parameters()))
+    return found if isinstance(found, dict) else found[0] if found else {}
+
+
+def download(requester: Requester, address: str, path: str) -> bool:
+    """Write the body of an answer, as it came, to a file of the local or mounted file system; False, and no file, where that fails."""
+    try:
+        body = requester.get(address).body
+        target = Path(path)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        partial = target.with_name(target.name + ".part")
+        partial.write_bytes(body)
+        partial.replace(target)
+        return True
+    except (ServiceError, OSError):
+        return False
+
+
 def limits(service: str, api_key: str | None = None) -> Limits:
     """Limits of a service; a key makes article requests closer."""
     return Limits(0.11, 3) if service == "pubmed" and api_key else SERVICES[service]

@@ -141,3 +141,55 @@ def test_accessors(spark):
     assert get(records.dominant_source(tie)) == "experimental" and get(records.dominant_source(tie | {"pscore": s(0.9)})) == "cooccurrence"
     m = one.select(text.messages(text.network_prompt(F.array(s("A"), s("B")), s(None).cast("array<string>"), s(None).cast("array<string>"), s(None).cast("array<string>"))).alias("m")).first()["m"]
     assert m is None or m[0]["role"] == "system"
+
+
+def test_services_say_who_asks(tmp_path):
+    from lattica.sources.transport import Limits, Requester, Response, Service, download, text, version
+
+    pubmed, string = Service("pubmed", email="a@b", api_key="k"), Service("string", address="http://here/")
+    assert pubmed.parameters(db="pubmed", retmax=5, term=None) == {"tool": "lattica", "email": "a@b", "api_key": "k", "db": "pubmed", "retmax": "5"}
+    assert pubmed.limits.delay == 0.11 and Service("pubmed").limits.delay == 0.35 and Service("kegg", own_limits=Limits(2.0)).limits.delay == 2.0
+    assert string.url("/json/version") == "http://here/json/version" and string.joined(["a", "b"]) == "a\r\nb" and Service("kegg").joined("ab") == "a+b" and Service("go").joined("ab") == "a,b"
+    answers = {"http://here/json/version": b'[{"string_version": "12"}]', "http://here/x.cif": b"\xff\x00data"}
+    seen = []
+
+    def transport(method, address, parameters):
+        seen.append((address, dict(parameters)))
+        return Response(200, answers[address]) if address in answers else Response(404, b"no")
+
+    r = Requester(transport, Limits(0))
+    assert version(r, string) == {"string_version": "12"} and seen[0][1] == {"caller_identity": "lattica"}
+    assert text(r, "http://here/x.cif").endswith("data")
+    assert download(r, "http://here/x.cif", str(tmp_path / "a/x.cif")) and (tmp_path / "a/x.cif").read_bytes() == b"\xff\x00data"
+    assert not download(r, "http://here/none", str(tmp_path / "b/y.cif")) and not (tmp_path / "b").exists()
+
+
+def test_search_by_fields_and_words(spark):
+    from lattica.sources.readers import search
+
+    rows = [("P1", "TP53", 9606, True, "Cellular tumor antigen"), ("P2", "TP53", 10090, True, "Tumor antigen"), ("P3", "X", 9606, False, "other")]
+    e = spark.createDataFrame([(a, g, (t,), r, w) for a, g, t, r, w in rows], "primaryAccession string, gene_name string, organism struct<taxonId: int>, is_reviewed boolean, search_text string")
+    names = lambda df: sorted(r["primaryAccession"] for r in df.collect())
+    assert names(search(e, "gene:TP53 AND organism_id:9606")) == ["P1"] and names(search(e, "(tumor) AND gene:TP53", ["primaryAccession"])) == ["P1", "P2"]
+    assert names(search(e, "TUMOR cellular")) == ["P1"] and names(search(e, "", reviewed_only=True)) == ["P1", "P2"] and search(e, "other", ["gene_name"]).columns == ["gene_name"]
+
+
+def test_terms_polymers_and_ligands(spark):
+    terms = ['{"id": "GO:1", "name": "n", "definition": {"text": "d", "xrefs": ["r"]}, "synonyms": [{"name": "s", "type": "exact"}, "x"], "children": [{"id": "GO:2"}], "isObsolete": true}', '{"definition": "plain"}', "{}"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "i int, t string").orderBy("i").select(records.go_term(F.try_parse_json("t"))).collect()]
+    assert (got[0]["definition"], got[0]["definition_xrefs"], got[0]["is_obsolete"], got[0]["children"]) == ("d", ["r"], True, ["GO:2"]) and [tuple(s) for s in got[0]["synonyms"]] == [("s", "exact")]
+    assert (got[1]["definition"], got[1]["id"]) == ("plain", "") and got[2]["definition"] is None and got[2]["synonyms"] == [] and got[2]["is_obsolete"] is False
+    e = spark.createDataFrame([('{"pdbx_entity_nonpoly": {"comp_id": "HEM"}, "chem_comp": {"name": "heme"}}',), ("{}",)], "t string").select(records.ligand(F.try_parse_json("t")).alias("l")).collect()
+    assert [tuple(r["l"]) for r in e] == [("HEM", "heme"), (None, None)]
+    p = spark.createDataFrame([((["P1"],), ("MK",)), (None, None)], "rcsb_polymer_entity_container_identifiers struct<uniprot_ids: array<string>>, entity_poly struct<pdbx_seq_one_letter_code_can: string>")
+    assert [tuple(r[0]) for r in p.select(records.polymer(F.struct(*p.columns))).collect()] == [(["P1"], "MK"), ([], None)]
+
+
+def test_fasta_headers_and_conversions_of_several_files(spark, tmp_path):
+    from lattica.sources.readers import conversions, read_fasta
+
+    (tmp_path / "a.fasta").write_text(">sp|P1|X 5'->3' exonuclease\nMKV\nAA\n>P2\nGG\n")
+    got = {r["header"]: r["sequence"] for r in read_fasta(spark, str(tmp_path / "a.fasta")).collect()}
+    assert got == {"sp|P1|X 5'->3' exonuclease": "MKVAA", "P2": "GG"}
+    pairs = spark.createDataFrame([("b", 0, "up:P", "x:2"), ("a", 5, "up:P", "x:1"), ("a", 7, "up:P", "x:3")], "file string, line int, id string, value string")
+    assert conversions(pairs).first()["gene_id"] == "x:1" and conversions(pairs, batch=True).first()["gene_id"] == "x:2"
