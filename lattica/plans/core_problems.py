@@ -9,7 +9,7 @@ from lattica.functions.nested import citation_authors, cross_references, domain_
 from lattica.operators import dangling as dg
 from lattica.operators.shred import assemble, shred
 from lattica.operators.skew import balanced_aggregate, estimate_load, fragment_join, heavy_hitters
-from lattica.session import folded_id, table, trimmed
+from lattica.session import folded_id, staged, table, trimmed
 
 #: Share of a table's rows from which a key counts as holding much of it.
 LARGE_SHARE = 0.03
@@ -42,24 +42,26 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_interaction_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Per protein: rows, distinct partners, best valid score, and the rows whose partner is a known id (by fragment_join)."""
+    """Per protein: rows, distinct partners, best valid score, and the rows of proteins that are known ids (by fragment_join).
+
+    Rows of one pair are put together before anything travels, so neither a protein nor a pair is hot; the pairs are
+    fragmented once, and what leaves a task is one row per key.
+    """
     si = table(spark, sf, "string_interaction").select(folded_id("stringId_A").alias("a"), folded_id("stringId_B").alias("b"), valid_score("score").alias("s"))
-    plan = estimate_load(si, F.col("a"))
-    partial = {"rows": F.count(F.lit(1)), "partners": F.countDistinct("b"), "best": F.max("s")}
-    final = {"n_rows": F.sum("rows"), "n_partners": F.sum("partners"), "best_score": F.max("best")}
-    counts = balanced_aggregate(si.where("a is not null"), F.col("a"), partial, final, plan, salt_by=[F.col("b")], name="key_id")
+    pairs = staged(si.where("a is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s")), "pairs")
     known = table(spark, sf, "string_mapping").select(folded_id("stringId").alias("id")).where("id is not null").distinct()
-    linked = fragment_join(si, known, F.col("a"), F.col("id"), "left_semi", plan, salt_by=[F.col("b")])
-    mapped = balanced_aggregate(linked, F.col("a"), {"rows": F.count(F.lit(1))}, {"n_known_rows": F.sum("rows")}, plan, salt_by=[F.col("b")], name="key_id")
-    return counts.join(mapped, "key_id", "left").select("key_id", "n_rows", "n_partners", "best_score", F.coalesce("n_known_rows", F.lit(0).cast("bigint")).alias("n_known_rows"))
+    linked = fragment_join(pairs, known, F.col("a"), F.col("id"), "left", estimate_load(pairs, F.col("a")), salt_by=[F.col("b")])
+    own = F.sum(F.when(F.col("id").isNotNull(), F.col("n")).otherwise(0)).alias("n_known_rows")
+    return linked.groupBy(F.col("a").alias("key_id")).agg(F.sum("n").alias("n_rows"), F.count("b").alias("n_partners"), F.max("s").alias("best_score"), own)
 
 
 def p1_annotation_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Per gene product: rows, distinct terms and distinct (term, evidence) pairs."""
+    """Per gene product: rows, distinct terms and distinct (term, evidence) pairs. Equal rows are put together before anything travels."""
     go = table(spark, sf, "go_annotation").select(product_id("geneProductId").alias("k"), F.col("goId").alias("t"), F.col("goEvidence").alias("e"))
-    partial = {"rows": F.count(F.lit(1)), "terms": F.countDistinct("t"), "pairs": F.countDistinct("t", "e")}
+    rows = staged(go.where("k is not null").groupBy("k", "t", "e").agg(F.count(F.lit(1)).alias("n")), "terms")
+    partial = {"rows": F.sum("n"), "terms": F.countDistinct("t"), "pairs": F.count_if(F.col("t").isNotNull() & F.col("e").isNotNull())}
     final = {"n_rows": F.sum("rows"), "n_terms": F.sum("terms"), "n_pairs": F.sum("pairs")}
-    return balanced_aggregate(go.where("k is not null"), F.col("k"), partial, final, salt_by=[F.col("t")], name="key_id")
+    return balanced_aggregate(rows, F.col("k"), partial, final, salt_by=[F.col("t")], name="key_id")
 
 
 # ---- p2: deeply nested records
