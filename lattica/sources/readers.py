@@ -40,8 +40,9 @@ def _fields(record: str) -> str:
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """(line, id, value, file): lines of exactly two fields, with their order in the file."""
-    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\R")).alias("line", "text"))
+    """(line, id, value, file): lines of exactly two fields; line sorts as they stand in the file, which may be read in blocks."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("line"), F.col("value").alias("text"))
     parts = F.split("text", "\t")
     return text.where(F.size(parts) == 2).select("line", F.trim(parts[0]).alias("id"), F.trim(parts[1]).alias("value"), "file")
 

@@ -193,3 +193,16 @@ def test_fasta_headers_and_conversions_of_several_files(spark, tmp_path):
     assert got == {"sp|P1|X 5'->3' exonuclease": "MKVAA", "P2": "GG"}
     pairs = spark.createDataFrame([("b", 0, "up:P", "x:2"), ("a", 5, "up:P", "x:1"), ("a", 7, "up:P", "x:3")], "file string, line int, id string, value string")
     assert conversions(pairs).first()["gene_id"] == "x:1" and conversions(pairs, batch=True).first()["gene_id"] == "x:2"
+
+
+def test_lines_of_a_file_in_blocks(spark, tmp_path):
+    (tmp_path / "big.tsv").write_text("".join(f"up:P{k % 7}\thsa:{k}\n" for k in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        pairs = readers.read_tsv(spark, str(tmp_path / "big.tsv"))
+        assert pairs.rdd.getNumPartitions() > 4
+        assert {r["accession"]: r["gene_id"] for r in readers.conversions(pairs).collect()} == {f"P{k}": f"hsa:{k}" for k in range(7)}
+        assert {r["accession"]: r["gene_id"] for r in readers.conversions(pairs, batch=True).collect()} == {f"P{k % 7}": f"hsa:{k}" for k in range(19_993, 20_000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
