@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -76,6 +77,25 @@ class PropertyGraph:
         self.tables[name] = df
         return self
 
+    def vacuum(self, keep: int = 2, hours: float = 24.0) -> int:
+        """Delete versions that the last `keep` manifests do not name and that are older than `hours`, and the manifests before; the number of versions deleted.
+
+        Younger ones may belong to a writer that has not published yet, or to a reader of an earlier manifest.
+        """
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        numbers = self._manifests()
+        live = {(name, version) for n in numbers[-keep:] for name, version in self._manifest(n).items()}
+        before, deleted = (time.time() - hours * 3600) * 1000, 0
+        for found in fs.globStatus(path(f"{self.path}/*/*")) or []:
+            at = found.getPath()
+            name = at.getParent().getName()
+            if name in (*NODES, *EDGES) and found.isDirectory() and (name, at.getName()) not in live and found.getModificationTime() <= before:
+                deleted += bool(fs.delete(at, True))
+        for n in numbers[:-keep]:
+            fs.delete(path(f"{self.path}/manifest-{n:012d}.json"), False)
+        return deleted
+
     def nodes(self, label: str) -> DataFrame:
         return self.tables.get(label) if label in self.tables else self.spark.createDataFrame([], node_schema(label))
 

@@ -322,3 +322,18 @@ def test_completion_settings(spark):
 
 def test_schema_helpers(spark):
     assert edge_schema("CITED_IN").names == ["src", "dst"] and "pmid" in node_schema("PubMedArticle").names
+
+
+def test_old_versions_are_removed_and_writers_do_not_lose_labels(spark, tmp_path):
+    path = str(tmp_path / "g")
+    a, b = graph.PropertyGraph(spark, path), graph.PropertyGraph(spark, path)
+    a.merge_nodes("Protein", nodes(spark, "P"))
+    b.merge_nodes("ProteinFeature", nodes(spark, "F"))  # opened before the first write
+    a.merge_nodes("Protein", nodes(spark, "Q"))
+    again = graph.PropertyGraph(spark, path)
+    assert {r["accession"] for r in again.nodes("Protein").collect()} == {"P", "Q"} and again.nodes("ProteinFeature").count() == 1
+    assert again.vacuum(keep=1) == 0  # all are young
+    assert again.vacuum(keep=1, hours=-1) == 1 and again.vacuum(keep=1, hours=-1) == 0
+    assert graph.PropertyGraph(spark, path).nodes("Protein").count() == 2
+    again.clear()
+    assert graph.PropertyGraph(spark, path).counts().collect() == []
