@@ -12,7 +12,6 @@ that many values of one source share, which are joined to the values. The model
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
