@@ -305,7 +305,7 @@ def _searcher(shared, run: int, share: float, stretch: int) -> Callable:
     return search
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, run: int = 10, share: float = 0.75, stretch: int = 2, shard_items: int = 128, words_at_once: int = 200_000) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, run: int = 10, share: float = 0.75, stretch: int = 2, shard_items: int = 256, words_at_once: int = 100_000) -> DataFrame:
     """(doc_id, item_id, question_share, answer_share) for every document that holds an item, whole or in part.
 
     docs has doc_id and text, items has item_id and text; further columns are not looked at. A pair is found if both share
