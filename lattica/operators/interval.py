@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.functions.text import safe_name
+from lattica.session import staged
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], a: tuple[str, str] = ("start", "end"), b: tuple[str, str] = ("unp_start", "unp_end")) -> DataFrame:
@@ -117,11 +118,15 @@ def slice_by_range(lines: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def slice_by_chains(lines: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(structure, feature, content, n_atoms): atoms inside any range (structure, feature, chain_id, lo, hi) of their chain; ranges with a bound below 1 are ignored."""
+    """(structure, feature, content, n_atoms): atoms inside any range (structure, feature, chain_id, lo, hi) of their chain; ranges with a bound below 1 are ignored.
+
+    Lines are never broadcast, as their number may be far above what their source lets Spark expect. A line has one
+    chain, so hits are distinct where the join leaves them.
+    """
     r = ranges.where("lo > 0 and hi > 0").select(F.col("structure").alias("s"), "feature", F.trim("chain_id").alias("c"), "lo", "hi")
-    a = atoms(lines)
+    a = atoms(lines).hint("merge")
     hit = a.join(r, (F.col("structure") == F.col("s")) & (F.col("chain_id") == F.col("c")) & F.col("residue").between(F.col("lo"), F.col("hi")))
-    return _files(hit.select("structure", "feature", "line_no", "value").distinct(), ["structure", "feature"])
+    return _files(hit.select("structure", "chain_id", "feature", "line_no", "value").distinct(), ["structure", "feature"])
 
 
 def chain_tag(chains: Column) -> Column:
@@ -135,7 +140,8 @@ def structure_manifest(features: DataFrame, structures: DataFrame, segs: DataFra
     structures (accession, structure, place) lists the structures of a protein in order of preference; the first
     max_structures count. A location (accession, feature, start, end) takes the first structure whose mapping gives a
     slice that is not empty (kind mapped); else the plain slice of the protein's first structure (kind plain); else no
-    row. Repeated rows count once. files adds the slice's content and its chain_ranges.
+    row. Repeated rows count once. files adds the slice's content and its chain_ranges. Locations, their ranges and the
+    mapped slices are staged, so that each is made once and no plan holds them all.
     """
     at = ["accession", "feature", "start", "end"]
     ranked = structures.withColumn("n", F.row_number().over(Window.partitionBy("accession").orderBy("place", "structure"))).where(F.col("n") <= max_structures)
@@ -146,9 +152,9 @@ def structure_manifest(features: DataFrame, structures: DataFrame, segs: DataFra
     extra = ["content", "chain_ranges"] if files else []
     mapped = cut.select("feature.*", "structure", "n_atoms", "content").join(tags, [*at, "structure"])
     best = mapped.groupBy(*at).agg(F.min_by(F.struct("structure", "chain_tag", "n_atoms", *extra), "n").alias("b"))
-    found = best.select(*at, "b.structure", F.lit("mapped").alias("kind"), "b.chain_tag", "b.n_atoms", *(f"b.{c}" for c in extra))
+    found = staged(best.select(*at, "b.structure", F.lit("mapped").alias("kind"), "b.chain_tag", "b.n_atoms", *(f"b.{c}" for c in extra)), "slices")
     rest = valid.join(found.select(*at), at, "left_anti").join(ranked.where("n = 1").select("accession", "structure"), "accession")
-    plain = rest.join(atoms(lines).select("structure", "residue", "line_no", "value"), "structure").where(F.col("residue").between(F.col("start"), F.col("end")) & (F.col("start") > 0))
+    plain = rest.join(atoms(lines).select("structure", "residue", "line_no", "value").hint("merge"), "structure").where(F.col("residue").between(F.col("start"), F.col("end")) & (F.col("start") > 0))
     naive = _files(plain, [*at, "structure"]).withColumn("chain_ranges", F.array().cast(tags.schema["chain_ranges"].dataType))
     return found.unionByName(naive.select(*at, "structure", F.lit("plain").alias("kind"), F.lit("").alias("chain_tag"), "n_atoms", *extra))
 

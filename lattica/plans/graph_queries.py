@@ -12,7 +12,7 @@ from lattica.functions.nested import cross_references, one_or_many, parsed
 from lattica.operators import enrich, graph, growth, interval, merge, traverse
 from lattica.plans.core_problems import _FRAGMENTS, _PRODUCT, _VALID, _fold, _trim, domain_fragments, pathway_gene, product_id, pubmed_numbers, valid_score
 from lattica.schemas import edge_schema, node_schema
-from lattica.session import folded_id, staging_path, table, trimmed
+from lattica.session import folded_id, staged, staging_path, table, trimmed
 from lattica.sources.lookups import MATCH_DATABASES as DATABASES
 from lattica.sources.lookups import all_matches, match_terms
 
@@ -789,11 +789,12 @@ def structure_manifest(spark, sf):
     e = feature_edges(spark, sf).drop("model").distinct()
     chain = F.when(F.col("start") <= 50, "A").otherwise("B")
     segs = e.select(F.col("src").alias("accession"), F.col("src").alias("structure"), chain.alias("chain_id"), F.col("start").alias("unp_start"), F.col("end").alias("unp_end"), F.col("start").alias("pdb_start"), F.col("end").alias("pdb_end")).distinct()
-    known = proteins(spark, sf).select("accession")
+    p = staged(proteins(spark, sf).select("accession", "sequence"), "sequences")
+    known = p.select("accession")
     planted = F.array(*(F.struct(F.lit(9000 + k).alias("feature"), F.lit(s).alias("start"), F.lit(t).alias("end")) for k, (s, t) in enumerate(((0, 60), (60, 40), (30, 70)))))
     features = entry_features(spark, sf).select("accession", "feature", "start", "end").unionByName(known.select("accession", F.explode(planted).alias("p")).select("accession", "p.*"))
     structures = known.select("accession", F.col("accession").alias("structure"), F.lit(1).alias("place"))
-    found = interval.structure_manifest(features, structures, segs, structure_lines(spark, sf))
+    found = interval.structure_manifest(features, structures, segs, structure_lines(p))
     return interval.slice_names(found).select("accession", "feature", "start", "end", "kind", "n_atoms", "filename")
 
 
@@ -818,16 +819,16 @@ def sifts_segments(spark, sf):
     return u.select("rec_id", F.explode(interval.mapping_segments(payload)).alias("s")).select("rec_id", "s.*")
 
 
-def structure_lines(spark: SparkSession, sf: str) -> DataFrame:
+def structure_lines(known: DataFrame) -> DataFrame:
     """Fixed-width atom lines, one per residue of each protein, on chain A up to residue 50 and B after it."""
-    p = proteins(spark, sf).where("length(sequence) > 0").select(F.col("accession").alias("structure"), F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("line_no"))
+    p = known.where("length(sequence) > 0").select(F.col("accession").alias("structure"), F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("line_no"))
     chain = F.when(F.col("line_no") <= 50, "A").otherwise("B")
     return p.select("structure", "line_no", F.concat(F.lit("ATOM  "), F.lpad(F.col("line_no").cast("string"), 5, " "), F.lit("  CA  GLY "), chain, F.lpad(F.col("line_no").cast("string"), 4, " "), F.lit("    ")).alias("value"))
 
 
 @query(f"with {_SQL_PROTEIN} select accession as structure, (least(length(sequence), 40) - 19)::bigint as n_atoms from protein where length(sequence) >= 20")
 def fixedwidth_slice(spark, sf):
-    return interval.slice_by_range(structure_lines(spark, sf), 20, 40).select("structure", "n_atoms")
+    return interval.slice_by_range(structure_lines(proteins(spark, sf)), 20, 40).select("structure", "n_atoms")
 
 
 # ---- enrichment and closures

@@ -280,6 +280,26 @@ def test_slices_and_manifest(spark):
     assert {(r["feature"], r["structure"], r["kind"], r["n_atoms"]) for r in only} == {("f1", "S1", "plain", 3), ("f1", "S1", "plain", 2), ("f2", "S1", "plain", 2)}
 
 
+def test_atom_lines_stay_off_the_driver(spark):
+    """Few short rows that become many lines look small to Spark: the lines must neither be broadcast nor hits shuffled before they are counted."""
+    known = spark.createDataFrame([("S", 300), ("T", 40)], "structure string, n int")
+    value = F.format_string("ATOM  %5d  CA  GLY %s%4d    ", F.col("line_no"), F.when(F.col("line_no") <= 50, "A").otherwise("B"), F.col("line_no"))
+    lines = known.select("structure", F.explode(F.sequence(F.lit(1), "n")).alias("line_no")).withColumn("value", value)
+    lines = lines.unionByName(lines.where("line_no = 45"))  # a repeated line counts once
+    features = spark.createDataFrame([("P", 1, 40, 60), ("P", 2, 250, 400), ("Q", 1, 41, 90), ("Q", 1, 39, 90)], "accession string, feature int, start int, end int")
+    structures = spark.createDataFrame([("P", "S", 1), ("Q", "T", 1)], "accession string, structure string, place int")
+    segs = spark.createDataFrame([("P", "S", "A", 30, 55, 30, 55), ("P", "S", "A", 44, 70, 44, 70), ("P", "S", "B", 30, 52, 30, 52)], "accession string, structure string, chain_id string, unp_start int, unp_end int, pdb_start int, pdb_end int")
+    found = interval.structure_manifest(features, structures, segs, lines)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 2 and plan.count("Exchange ") <= 8, plan  # lines (a union of two) are read for the rest alone: the mapped slices are staged
+    assert sorted(tuple(r) for r in found.collect()) == [("P", 1, 40, 60, "S", "mapped", "A_B", 13), ("P", 2, 250, 400, "S", "plain", "", 51), ("Q", 1, 39, 90, "T", "plain", "", 2)]
+    ranges = spark.createDataFrame([("S", 1, "A", 40, 50)], "structure string, feature int, chain_id string, lo int, hi int")
+    plan = interval.slice_by_chains(lines, ranges).select("structure", "feature", "n_atoms")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 3, plan  # lines, ranges and counts
+
+
 def test_residue_mapping_payload(spark):
     payload = '{"mappings": [{"chain_id": "A", "unp_start": 1, "unp_end": 9, "start": {"author_residue_number": 0, "residue_number": 4}, "end": {"author_residue_number": 12}}, {"chain_id": "B", "unp_start": 1}]}'
     got = spark.createDataFrame([(payload,), ("x",), (None,)], "p string").select(interval.segments(F.col("p"))).collect()
