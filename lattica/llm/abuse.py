@@ -12,9 +12,10 @@ reviewed document's own examples calibrate the scores by their slope alone: even
 cannot move the cut into a mass of harmless documents.
 
 Cosines are exact: examples lie in blocks of an inverted index with the maximum weight of each term per block, which
-bounds all cosines of a block from above; blocks that cannot hold a neighbour are not opened. A sentence that could not
-reach even odds even with no harmless example near it, as the guilty ones alone show, makes no score: documents without
-any other sentence score the floor of the calibration, all others exactly.
+bounds all cosines of a block from above; blocks that cannot hold a neighbour are not opened. Scores are exact too, those
+below even odds as well: a sentence is left unsearched only where another one of its document provably votes as much, as
+without a neighbour above the prior no vote is above it, and without any neighbour it is the prior. Where only documents
+from some score on are asked for, sentences are left out that cannot reach it with no harmless example near them.
 
 Term statistics cover the sentences of all documents (hashed to a fixed number of buckets). The examples are bounded:
 `max_docs` reviewed documents of either kind and `max_examples` sentences, kept by the hash of the document's id; the
@@ -299,14 +300,15 @@ class BlockMaxIndex:
 
 @dataclass
 class Model:
-    """guilty: index of the examples with a label above even odds; beyond_even: how far their votes are above; every: index of all examples.
+    """blamed: index of the examples with a label above cut; beyond: how far their votes are above; every: index of all examples.
 
-    labels, owner (document) and weights (votes that it stands for) of all examples; texts of the guilty ones; slope and floor of the calibration.
+    labels, owner (document) and weights (votes that it stands for) of all examples; texts of the guilty ones (label above
+    even odds); slope and floor of the calibration; cut: vote from which sentences are asked for, PRIOR if all are.
     """
 
     idf: np.ndarray
-    guilty: BlockMaxIndex
-    beyond_even: np.ndarray
+    blamed: BlockMaxIndex
+    beyond: np.ndarray
     every: BlockMaxIndex | None
     labels: np.ndarray
     owner: np.ndarray
@@ -314,6 +316,7 @@ class Model:
     texts: dict[int, str]
     slope: float = 1.0
     floor: float = 0.0
+    cut: float = PRIOR
 
 
 def neighbours(index: BlockMaxIndex, query: Vector, owner: np.ndarray, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -391,12 +394,20 @@ def calibration(raw: np.ndarray, n: np.ndarray, cases: np.ndarray, weight: np.nd
 
 def calibrated(raw: float, model: Model) -> float:
     """Probability of a case; 0 without examples of cases."""
-    if not model.guilty.n:
+    if not model.blamed.n and not len(model.labels):  # nothing was learnt
         return 0.0
     raw = min(max(raw, 1e-4), 1 - 1e-4)
     return model.floor + (1 - model.floor) / (1 + ((1 - raw) / raw) ** model.slope)
 
 
+def vote_at(score: float, slope: float, floor: float) -> float:
+    """The vote that is calibrated to a score, PRIOR at least."""
+    p = (score - floor) / (1 - floor)
+    if p <= 0:
+        return PRIOR
+    return max(PRIOR, 1.0 if p >= 1 else 1 / (1 + ((1 - p) / p) ** (1 / slope)) - 1e-6)
+
+
 Found = list[tuple[np.ndarray, np.ndarray]]
 Vectors = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -422,12 +433,12 @@ def _part(vectors: Vectors, chosen: np.ndarray) -> BlockMaxIndex:
     return BlockMaxIndex(at[positions], w[positions], np.append(0, np.cumsum(sizes)))
 
 
-def train(reviewed: list[tuple[object, str, float, int]], idf: np.ndarray, n_positive: int, n_negative: int, max_examples: int = 120_000, searching: Callable[..., Found] = search_all) -> Model:
+def train(reviewed: list[tuple[object, str, float, int]], idf: np.ndarray, n_positive: int, n_negative: int, max_examples: int = 120_000, searching: Callable[..., Found] = search_all, least: float = 0.0) -> Model:
     """The model from reviewed documents (id, text, share of reviewers that saw a case, number of reviewers).
 
     Documents become examples in the order given until max_examples sentences are reached, a third of them from positive
     documents. n_positive, n_negative: reviewed documents of either kind in all; kept ones are weighted up to them.
-    searching: search_all, or the same on the executors.
+    searching: search_all, or the same on the executors. least: score from which documents are asked for.
     """
     texts: list[str] = []
     words: list[int] = []
@@ -476,43 +487,74 @@ def train(reviewed: list[tuple[object, str, float, int]], idf: np.ndarray, n_pos
         others = np.array([i for i in others if len(suspects.search((at[bounds[i] : bounds[i + 1]], w[bounds[i] : bounds[i + 1]]), 1, LEAST)[0])], np.int64)
         asked, near = np.concatenate([asked, others]), near + searching(whole, vectors, span, owner, others)
     labels, votes = explain(near, owner, asked, weights, n, cases)
-    raw = np.zeros(len(n))
+    raw = np.full(len(n), PRIOR)  # of a document without a sentence in question, as without any likeness
     np.maximum.at(raw, owner, votes)
     slope, floor = calibration(raw, n, cases, stands_for / stands_for.mean())
     guilty = np.flatnonzero(labels > 0.5)
-    beyond_even = weights[guilty] * (labels[guilty] - 0.5)
-    return Model(idf, _part(vectors, guilty), beyond_even, whole, labels, owner, weights, {int(i): texts[i] for i in guilty}, slope, floor)
+    cut = vote_at(least, slope, floor)
+    blamed = np.flatnonzero(labels > cut)
+    beyond = weights[blamed] * (labels[blamed] - cut)
+    return Model(idf, _part(vectors, blamed), beyond, whole, labels, owner, weights, {int(i): texts[i] for i in guilty}, slope, floor, cut)
 
 
 def score_sentences(model: Model, owner: np.ndarray, words: np.ndarray, sizes: np.ndarray, n: int) -> list[tuple[float, int, int]]:
-    """(raw score, worst sentence, nearest guilty example) of n documents; -1 where there is none. owner: document of each sentence."""
-    out = [(0.0, -1, -1)] * n
-    if not model.guilty.n or not len(sizes):
-        return out
-    # a term that is met tf times adds tf * idf ** 2 to the square of the norm, and less than tf * idf to the product
-    of, term = terms_of(words, sizes)
-    weight = model.idf[term]
-    norm = np.sqrt(np.bincount(of, weights=weight.astype(np.float64) ** 2))
-    some = np.flatnonzero(np.bincount(of, weights=weight * model.guilty.any[term]) >= (LEAST - 1e-6) * norm)
-    if not len(some):
+    """(raw score, worst sentence, nearest guilty example) of n documents; -1 where there is none. owner: document of each sentence.
+
+    Raw scores are exact from model.cut on. Documents without sentences, and those that stay below a cut above the prior,
+    have the prior.
+    """
+    out = [(PRIOR, -1, -1)] * n
+    if not len(model.labels) or not len(sizes):
         return out
-    starts = np.cumsum(sizes) - sizes
-    positions, _ = _spans(starts[some], starts[some] + sizes[some])
-    at, w, bounds = vectors_of(words[positions], sizes[some], model.idf)
-    for k in model.guilty.may_reach(at, w, bounds, LEAST):
-        i, query = some[k], (at[bounds[k] : bounds[k + 1]], w[bounds[k] : bounds[k + 1]])
-        close, cos = model.guilty.search(query, NEAREST, LEAST)
-        if (cos.astype(np.float64) ** 3 * model.beyond_even[close]).sum() < SHRINK * (0.5 - PRIOR):
-            continue  # not even odds if no harmless example were near
+    whole = model.cut <= PRIOR
+    if whole:
+        for d in np.unique(owner):
+            out[d] = (0.0, -1, -1)
+
+    def ask(i: int, query: Vector) -> None:
         near, cos = neighbours(model.every, query, model.owner)
         raw = vote(cos, model.labels[near], model.weights[near])
         if raw > out[owner[i]][0]:
             guilty = near[model.labels[near] > 0.5]
             out[owner[i]] = (raw, int(i), int(guilty[0]) if len(guilty) else -1)
+
+    # a term that is met tf times adds tf * idf ** 2 to the square of the norm, and less than tf * idf to the product
+    of, term = terms_of(words, sizes)
+    weight = model.idf[term]
+    norm = np.sqrt(np.bincount(of, weights=weight.astype(np.float64) ** 2))
+    some = np.flatnonzero(np.bincount(of, weights=weight * model.blamed.any[term]) >= (LEAST - 1e-6) * norm)
+    starts = np.cumsum(sizes) - sizes
+    asked = np.zeros(len(sizes), bool)
+    if len(some):
+        positions, _ = _spans(starts[some], starts[some] + sizes[some])
+        at, w, bounds = vectors_of(words[positions], sizes[some], model.idf)
+        for k in model.blamed.may_reach(at, w, bounds, LEAST):
+            i, query = some[k], (at[bounds[k] : bounds[k + 1]], w[bounds[k] : bounds[k + 1]])
+            close, cos = model.blamed.search(query, NEAREST, LEAST)
+            # those found are all there are if they are fewer than NEAREST: the vote stays below the cut even if no harmless example is near
+            if not len(close) or (len(close) < NEAREST and (cos.astype(np.float64) ** 3 * model.beyond[close]).sum() < SHRINK * (model.cut - PRIOR)):
+                continue
+            asked[i] = True
+            ask(i, query)
+    if not whole:
+        return out
+    # no other sentence votes above the prior, so documents that are there already are done; the most lonely sentences first
+    most = np.bincount(of, weights=weight * model.every.any[term]) / norm
+    below = np.array([raw < PRIOR - 1e-12 for raw, _, _ in out])
+    rest = np.flatnonzero(~asked & below[owner])
+    rest = rest[np.lexsort((most[rest], owner[rest]))]
+    for i in rest:
+        if out[owner[i]][0] >= PRIOR - 1e-12:
+            continue
+        if most[i] < LEAST - 1e-6:
+            out[owner[i]] = (PRIOR, int(i), -1)  # no neighbour at all
+            continue
+        at, w, _ = vectors_of(words[starts[i] : starts[i] + sizes[i]], sizes[i : i + 1], model.idf)
+        ask(i, (at, w))
     return out
 
 
-def _scorer(shared, index) -> Callable:
+def _scorer(shared, index, least: float) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = replace(shared.value, every=index.value[0] if index else shared.value.every)
         for batch in batches:
@@ -524,11 +566,14 @@ def _scorer(shared, index) -> Callable:
                 rows = score_sentences(model, owner, part.column(3).flatten().to_numpy(), sizes.flatten().to_numpy(), part.num_rows)
                 first = np.cumsum(np.append(0, per_doc))
                 scores, worst, evidence = [], [], []
-                for d, (raw, sentence, example) in enumerate(rows):
-                    scores.append(calibrated(raw, model))
+                scored = [calibrated(raw, model) for raw, _, _ in rows]
+                kept = [d for d, score in enumerate(scored) if score >= least]
+                for d in kept:
+                    _, sentence, example = rows[d]
+                    scores.append(scored[d])
                     worst.append(sentence_words(part.column(2)[d].as_py())[sentence - first[d]][0] if sentence >= 0 else None)
                     evidence.append(model.texts[example] if example >= 0 else None)
-                columns = [part.column(0), part.column(1), pa.array(scores, pa.float64()), pa.array(worst, pa.string()), pa.array(evidence, pa.string())]
+                columns = [part.column(0).take(pa.array(kept, pa.int64())), part.column(1).take(pa.array(kept, pa.int64())), pa.array(scores, pa.float64()), pa.array(worst, pa.string()), pa.array(evidence, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "score", "sentence", "evidence"])
 
     return score
@@ -577,8 +622,8 @@ def reviews(labels: DataFrame, kinds: tuple[str, ...] = ("abusive", "hateful", "
     return each.groupBy("doc_id").agg(F.avg("y").alias("y"), F.count("y").alias("n"))
 
 
-def scored_documents(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000, max_examples: int = 120_000) -> DataFrame:
-    """(doc_id, source, score, sentence, evidence) for every document.
+def scored_documents(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000, max_examples: int = 120_000, least: float = 0.0) -> DataFrame:
+    """(doc_id, source, score, sentence, evidence) for every document, or for those whose score is `least` or more.
 
     docs has doc_id, text and source; labels has doc_id, reviewer, abusive, hateful and sexual. score is the calibrated
     probability that the document is abusive, hateful or sexual, sentence its worst sentence in plain spelling, evidence
@@ -602,6 +647,6 @@ def scored_documents(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000,
     n = reviewed.agg(F.count_if(F.col("y") >= 0.5).alias("positive"), F.count_if(F.col("y") < 0.5).alias("negative")).first()
     spark = docs.sparkSession
     searching = OnExecutors(spark)
-    model = train([(r["doc_id"], r["text"], r["y"], r["n"]) for r in chosen], idf, n["positive"], n["negative"], max_examples, searching)
+    model = train([(r["doc_id"], r["text"], r["y"], r["n"]) for r in chosen], idf, n["positive"], n["negative"], max_examples, searching, least)
     shared = spark.sparkContext.broadcast(replace(model, every=None) if searching.shared else model)
-    return read.mapInArrow(_scorer(shared, searching.shared), f"doc_id {kind}, source string, score double, sentence string, evidence string")
+    return read.mapInArrow(_scorer(shared, searching.shared, least), f"doc_id {kind}, source string, score double, sentence string, evidence string")

@@ -79,12 +79,16 @@ def p8_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
-    return p8_scores(spark, sf).where(F.col("score") >= ABUSE_SCORE).select("doc_id").distinct()
+    """The documents of p8_scores from ABUSE_SCORE on; what cannot reach it is not searched."""
+    return scored_documents(table(spark, sf, "documents"), table(spark, sf, "review_label"), least=ABUSE_SCORE).select("doc_id").distinct()
 
 
 def p8_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Per source: documents, cases and their share."""
-    per = p8_scores(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("score") >= ABUSE_SCORE).alias("n_cases"))
+    docs = table(spark, sf, "documents")
+    cases = scored_documents(docs, table(spark, sf, "review_label"), least=ABUSE_SCORE).select("source", F.lit(True).alias("case"))
+    every = docs.select(F.col("source").cast("string").alias("source"), F.lit(False).alias("case")).unionByName(cases)
+    per = every.groupBy("source").agg(F.count_if(~F.col("case")).alias("n_docs"), F.count_if("case").alias("n_cases"))
     return per.withColumn("share", F.round(F.col("n_cases") / F.col("n_docs"), 4))
 
 

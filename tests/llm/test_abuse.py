@@ -144,3 +144,57 @@ def test_long_documents_are_examples_too():
     assert model.every.n == 3 * 2 + 3 * 40 + 20 * 2  # the first positive ones until 100 are reached, short and long
     huge = abuse.train(bad[1:2] + good, np.ones(abuse.BUCKETS, np.float32), 1, 20, max_examples=30)
     assert huge.every.n == 40 + 20  # a document above the bound is not lost, nor are the negative ones
+
+
+def learnt(**given):
+    rng = random.Random(2)
+    reviewed = [(i, t, float(y ^ (rng.random() < 0.1)), 1) for i, t, y in made(11, 160)]
+    n = sum(y >= 0.5 for _, _, y, _ in reviewed)
+    return abuse.train(reviewed, np.ones(abuse.BUCKETS, np.float32), n, len(reviewed) - n, **given)
+
+
+def asked_of(texts):
+    per = [[w for _, w in abuse.sentence_words(t)] for t in texts]
+    flat = [w for ws in per for w in ws]
+    words = np.array([x for w in flat for x in w], np.uint32).view(np.int32)
+    return np.repeat(np.arange(len(texts)), [len(ws) for ws in per]), words, np.array([len(w) for w in flat])
+
+
+#: Texts whose sentences are like harmless ones, like both kinds, like none, and without any sentence.
+ODD = ["We measured GEN7 twice and saw no change at all.", "You are a gene and everybody knows it.", "Nobody would miss the domain around here.", "Zebra quartz violin.", "Zebra quartz violin. We measured GEN7 twice and saw no change at all.", "", None]
+
+
+def test_scores_below_even_odds_are_exact():
+    texts = [t for _, t, _ in made(12, 150)] + ODD
+    model = learnt()
+    owner, words, sizes = asked_of(texts)
+    starts = np.cumsum(sizes) - sizes
+    votes = np.zeros(len(sizes))
+    for i in range(len(sizes)):
+        at, w, _ = abuse.vectors_of(words[starts[i] : starts[i] + sizes[i]], sizes[i : i + 1], model.idf)
+        near, cos = abuse.neighbours(model.every, (at, w), model.owner)
+        votes[i] = abuse.vote(cos, model.labels[near], model.weights[near])
+    want = [votes[owner == d].max(initial=0) if (owner == d).any() else abuse.PRIOR for d in range(len(texts))]
+    got = abuse.score_sentences(model, owner, words, sizes, len(texts))
+    assert np.allclose([raw for raw, _, _ in got], want, atol=1e-9)
+    assert all(sentence < 0 if not (owner == d).any() else abs(votes[sentence] - raw) < 1e-9 for d, (raw, sentence, _) in enumerate(got))
+    low = {round(raw, 4) for raw in want if raw < 0.4}
+    assert len(low) > 3 and min(low) < abuse.PRIOR  # not one floor for all
+
+
+def test_documents_from_a_score_on_are_those_of_all_scores():
+    texts = [t for _, t, _ in made(12, 150)] + ODD
+    every = learnt()
+    for least in (0.05, 0.3, 0.5, 0.9):
+        some = learnt(least=least)
+        a, b = ([(abuse.calibrated(x[0], m), *x) for x in abuse.score_sentences(m, *asked_of(texts), len(texts))] for m in (every, some))
+        assert [x if x[0] >= least else None for x in a] == [x if x[0] >= least else None for x in b]
+    assert abuse.calibrated(abuse.vote_at(0.5, 0.7, 0.1), every) and abs(0.1 + 0.9 / (1 + ((1 - (v := abuse.vote_at(0.5, 0.7, 0.1))) / v) ** 0.7) - 0.5) < 1e-5
+
+
+def test_least_leaves_out_nothing_else(spark):
+    docs, labels = tables(spark, made(3, 300))
+    whole = {r["doc_id"]: r for r in abuse.scored_documents(docs, labels).collect()}
+    some = {r["doc_id"]: r for r in abuse.scored_documents(docs, labels, least=0.5).collect()}
+    assert len(whole) == 303 and some == {k: r for k, r in whole.items() if r["score"] >= 0.5} and some
+    assert all(r["sentence"] for k, r in whole.items() if k < 9001)
